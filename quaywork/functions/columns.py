@@ -118,3 +118,30 @@ def count_where(condition: Column) -> Column:
 def first_where(array: Column, predicate) -> Column:
     """First array element satisfying ``predicate`` or NULL."""
     return F.get(F.filter(array, predicate), F.lit(0))
+
+
+def round_binary(value: Column, places: int) -> Column:
+    """Rounding of a double by its exact binary value, ties to even.
+
+    1.265 is a little below the tie in binary and rounds to 1.26, which decimal
+    rounding of its printed form would miss.  The double is scaled to its
+    53-bit integer and rounded there in exact decimal arithmetic.
+    """
+    x = value.cast("double")
+    size = F.abs(x)
+    shift = F.lit(52) - F.floor(F.log2(size))
+    mantissa = (size * F.pow(F.lit(2.0), shift)).cast("bigint").cast("decimal(20,0)")
+    scaled = (mantissa * F.lit(10**places).cast("decimal(8,0)")).cast("decimal(38,0)")
+    unit = F.pow(F.lit(2.0), shift).cast("decimal(38,0)")
+    rest = (scaled % unit).cast("decimal(38,0)")
+    whole = ((scaled - rest) / unit).cast("bigint")
+    twice = (rest * F.lit(2).cast("decimal(1,0)")).cast("decimal(38,0)")
+    up = (twice > unit) | ((twice == unit) & (whole % 2 == 1))
+    rounded = (whole + F.when(up, 1).otherwise(0)).cast("double") / F.lit(float(10**places))
+    # Beyond these sizes a double has no digits to round, or rounds to zero.
+    return (
+        F.when(x.isNull() | F.isnan(x), x)
+        .when(size >= F.lit(2.0**52), x)
+        .when(size < F.lit(10.0 ** -(places + 2)), F.lit(0.0))
+        .otherwise(F.signum(x) * rounded)
+    )

@@ -19,6 +19,7 @@ from quaywork.functions.columns import (
     hours_between,
     join_text,
     minutes_between,
+    round_binary,
     timestamp_text,
 )
 
@@ -522,11 +523,11 @@ def month_run_rate(costs: DataFrame, budget: float, as_of: datetime | None = Non
     today = clock(as_of).cast("date")
     month = costs.where((F.col("Day") >= F.trunc(today, "month")) & (F.col("Day") <= today))
     spend = F.coalesce(F.col("_spend"), F.lit(0.0))
-    share = F.round(spend / F.lit(budget) * 100).cast("bigint") if budget else F.lit(0).cast("bigint")
+    share = F.rint(spend / F.lit(budget) * 100).cast("bigint") if budget else F.lit(0).cast("bigint")
     return month.agg(F.sum("Amount").cast("double").alias("_spend")).select(
-        F.round(spend, 2).alias("spendMtd"),
+        round_binary(spend, 2).alias("spendMtd"),
         F.lit(float(budget)).alias("budget"),
-        F.round(spend / F.day(today) * F.day(F.last_day(today)), 2).alias("projectedMonthEnd"),
+        round_binary(spend / F.day(today) * F.day(F.last_day(today)), 2).alias("projectedMonthEnd"),
         share.alias("percentUsed"),
     )
 

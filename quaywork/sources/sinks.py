@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaywork.functions.columns import clock, join_text, seconds_between
+from quaywork.functions.columns import clock, join_text, round_binary, seconds_between
 from quaywork.operators import interchange
 
 CLARIFICATION = "array<struct<question:string,answer:string>>"
@@ -139,7 +139,7 @@ def read_json_columns(requests: DataFrame) -> DataFrame:
     }
     for name, places in MONEY_PLACES.items():
         if name in requests.columns:
-            columns[name] = F.round(F.col(name).cast("double"), places)
+            columns[name] = round_binary(F.col(name), places)
     return requests.withColumns(columns).drop(*[c for c in JSON_COLUMNS if c in requests.columns])
 
 
