@@ -6,6 +6,7 @@ from quaywork.plans import (  # noqa: F401
     lookup_queries,
     report_queries,
     staging_queries,
+    stream_queries,
 )
 from quaywork.plans.registry import ORACLES, QUERIES
 
