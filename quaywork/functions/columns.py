@@ -23,7 +23,7 @@ def as_column(value: Column | str) -> Column:
 def clock(as_of: datetime | Column | None) -> Column:
     """The "now" of a time-relative operator; the wall clock only by default."""
     if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return from_micros(F.unix_micros(F.current_timestamp()))
     if isinstance(as_of, Column):
         return as_of
     return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
@@ -64,6 +64,15 @@ def micros(ts: Column) -> Column:
     return minute_index(ts) * 60_000_000 + (second * 1_000_000).cast("bigint")
 
 
+def from_micros(value: Column) -> Column:
+    """UTC wall-clock time of a microsecond count, whatever the session zone."""
+    day = 86_400_000_000
+    seconds = F.pmod(value, F.lit(day)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        days=F.floor(value / F.lit(day)).cast("int"), secs=seconds.cast("decimal(18,6)")
+    )
+
+
 def floor_hour(ts: Column) -> Column:
     """Start of the hour, still ``timestamp_ntz`` (``date_trunc`` is not)."""
     return ts - F.make_dt_interval(

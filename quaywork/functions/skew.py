@@ -121,3 +121,10 @@ def bounded_pieces(df: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> list
     pieces = math.ceil(rows / limit)
     slot = F.pmod(F.xxhash64(key), F.lit(pieces))
     return [df.where(slot == i) for i in range(pieces)]
+
+
+def join_checked(
+    big: DataFrame, small: DataFrame, on: str, how: str, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join that leaves ``big`` unshuffled when the other side is counted to be small."""
+    return big.join(F.broadcast(small) if small.count() <= limit else small, on, how)

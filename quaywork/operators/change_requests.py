@@ -93,11 +93,9 @@ def assign_numbers(new: DataFrame, existing: DataFrame, order: str, per_slice: i
     """Number a new batch without gaps, after the highest existing number.
 
     ``order`` is a numeric unique column.  The numbering is sliced by value
-    ranges, and the one-row maximum travels as a scalar subquery would.
+    ranges, so no task sees the whole batch.
     """
-    top = existing.agg(F.coalesce(F.max("CRNumber"), F.lit(0)).alias("_top")).withColumn(
-        "_all", F.lit(1)
-    )
+    top = existing.agg(F.coalesce(F.max("CRNumber"), F.lit(0)).alias("top")).scalar()
     ranked = numbered(
         new.withColumn("_all", F.lit(1)),
         ["_all"],
@@ -105,11 +103,7 @@ def assign_numbers(new: DataFrame, existing: DataFrame, order: str, per_slice: i
         F.floor(F.col(order) / F.lit(per_slice)),
         "_rank",
     )
-    return (
-        ranked.join(F.broadcast(top), "_all")
-        .withColumn("CRNumber", (F.col("_top") + F.col("_rank")).cast("bigint"))
-        .drop("_all", "_rank", "_top")
-    )
+    return ranked.withColumn("CRNumber", (top + F.col("_rank")).cast("bigint")).drop("_all", "_rank")
 
 
 def status_badge(status: Column) -> Column:

@@ -28,6 +28,7 @@ from quaywork.functions.columns import (
     safe_decimal,
     safe_int,
 )
+from quaywork.functions.skew import join_checked
 
 LINES_PER_TRANSACTION = 9_999
 TRANSACTIONS_PER_FILE = 100
@@ -47,11 +48,23 @@ def _segment_id(segment: Column) -> Column:
 def newest_unparsed(files: DataFrame) -> DataFrame:
     """Newest RAW_LOADED row of each file name.
 
-    Only ids travel through the aggregation; the text is picked up by a join.
+    The superseded deliveries are found from ids alone and taken out by an anti
+    join.  They are few as a rule; then the file texts are not shuffled.
     """
     waiting = files.where(F.col("ProcessStatus") == "RAW_LOADED")
-    newest = waiting.groupBy("FileName").agg(F.max("RawId").alias("RawId")).select("RawId")
-    return waiting.join(newest, "RawId", "left_semi")
+    newest = (
+        waiting.groupBy("FileName")
+        .agg(F.max("RawId").alias("_newest"), F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .drop("_n")
+    )
+    superseded = (
+        waiting.select("FileName", "RawId")
+        .join(newest, "FileName")
+        .where(F.col("RawId") < F.col("_newest"))
+        .select("RawId")
+    )
+    return join_checked(waiting, superseded, "RawId", "left_anti")
 
 
 def enrich_isa(files: DataFrame) -> DataFrame:
@@ -526,28 +539,53 @@ def render_940(
     (a struct), Quantity, UOM, Qualifier, Sku (texts).
 
     The standard allows 9,999 line loops per transaction set; a larger order
-    continues in further sets with the same order number, and a file that
-    outgrows ``max_transactions`` sets continues in another file.  So no group
-    that is gathered into one text is unbounded and every line is written.
+    continues in further sets with the same order number, and an order that
+    outgrows ``max_transactions`` sets continues in the next ``FilePart``.  So
+    the lines gathered into one text are bounded and every line is written.
     """
-    salt = F.monotonically_increasing_id()
+    segment = F.concat_ws("*", F.lit("W01"), "Quantity", "UOM", "Qualifier", "Sku")
+    written = lines.select("OrderId", "SortKey", segment.alias("_w01"))
     oversized = (
         lines.groupBy("OrderId")
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > max_lines)
         .select("OrderId", F.ceil(F.col("_n") / F.lit(max_lines)).alias("_sets"))
     )
-    segment = F.concat_ws("*", F.lit("W01"), "Quantity", "UOM", "Qualifier", "Sku")
+    sized = written.join(oversized, "OrderId", "left")
+    usual = sized.where(F.col("_sets").isNull()).select(
+        "OrderId", F.lit(0).cast("bigint").alias("_set"), "SortKey", "_w01", F.lit(1).alias("_copies")
+    )
+    # Equal lines of a large order are counted first, then dealt out in blocks.
+    # The dealing depends on content only, so a retried task repeats it.
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(max_lines))))
+    dealt = (
+        sized.where(F.col("_sets").isNotNull())
+        .groupBy("OrderId", "_sets", "SortKey", "_w01")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_block", block)
+        .select(
+            "OrderId",
+            F.pmod(F.xxhash64("SortKey", "_w01", "_block"), F.col("_sets")).alias("_set"),
+            "SortKey",
+            "_w01",
+            F.least(F.lit(max_lines), F.col("_n") - F.col("_block") * max_lines).cast("int").alias("_copies"),
+        )
+    )
     sets = (
-        lines.select("OrderId", "SortKey", segment.alias("_w01"), salt.alias("_salt"))
-        .join(oversized, "OrderId", "left")
-        .withColumn("_set", F.pmod("_salt", F.coalesce("_sets", F.lit(1))))
+        usual.unionByName(dealt)
         .groupBy("OrderId", "_set")
-        .agg(F.array_sort(F.collect_list(F.struct("SortKey", "_w01"))).alias("_lines"))
+        .agg(F.array_sort(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"))
         .select(
             "OrderId",
             "_set",
-            F.array_join(F.transform("_lines", lambda x: x["_w01"]), "~").alias("_body"),
+            F.flatten(
+                F.transform("_lines", lambda x: F.array_repeat(x["_w01"], x["_copies"]))
+            ).alias("_lines"),
+        )
+        .select(
+            "OrderId",
+            "_set",
+            F.array_join("_lines", "~").alias("_body"),
             F.size("_lines").alias("_count"),
         )
     )
@@ -623,7 +661,4 @@ def render_940(
         ),
         F.lit("~"),
     )
-    return grouped.select(
-        (F.col("RawId") + F.col("_file") * F.lit(1 << 40)).alias("RawId"),
-        text.alias("RawEDIText"),
-    )
+    return grouped.select("RawId", F.col("_file").alias("FilePart"), text.alias("RawEDIText"))

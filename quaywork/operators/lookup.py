@@ -353,8 +353,11 @@ def negative_feedback_context(feedback: DataFrame, n: int = 5) -> DataFrame:
     lines = F.transform(
         F.array_sort(
             F.collect_list(
-                F.struct((-F.unix_micros(F.col("CreatedDateTime").cast("timestamp"))).alias("t"),
-                         (-F.col("FeedbackId")).alias("i"), line.alias("line"))
+                F.struct(
+                    (-micros(F.col("CreatedDateTime"))).alias("t"),
+                    (-F.col("FeedbackId")).alias("i"),
+                    line.alias("line"),
+                )
             )
         ),
         lambda x: x["line"],

@@ -3,6 +3,7 @@
 from quaywork.plans import (  # noqa: F401
     capacity_queries,
     interchange_queries,
+    io_queries,
     lookup_queries,
     report_queries,
     staging_queries,

@@ -252,7 +252,15 @@ class Domain:
             F.lit("VN").alias("Qualifier"),
             F.expr("concat('P', l_partkey) AS Sku"),
         )
-        return interchange.render_940(shaped, lines)
+        rendered = interchange.render_940(shaped, lines)
+        # Continuation files get the ids after the highest first one.
+        groups = self._parsed_orders.agg((F.max("RawId") + 1).alias("groups")).scalar()
+        return rendered.select(
+            F.when(F.col("FilePart") == 0, F.col("RawId"))
+            .otherwise(F.col("RawId") + F.col("FilePart") * groups)
+            .alias("RawId"),
+            "RawEDIText",
+        )
 
     @cached_property
     def raw_files(self) -> DataFrame:

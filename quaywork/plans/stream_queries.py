@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quaywork.functions.columns import from_micros, timestamp_text
 from quaywork.operators import interchange as I
 from quaywork.plans.domain import Domain
 from quaywork.plans.registry import query
@@ -38,7 +39,7 @@ def _updated(d: Domain, stream: DataFrame, label: str, key: str) -> DataFrame:
 
 
 def _text_of(micros_column: str):
-    return F.substring(F.timestamp_micros(micros_column).cast("string"), 1, 19)
+    return timestamp_text(from_micros(F.col(micros_column)))
 
 
 def _delivered(d: Domain, label: str) -> tuple[DataFrame, str]:

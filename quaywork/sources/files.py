@@ -8,20 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywork import schemas as S
-from quaywork.functions.columns import clock, seconds_between
+from quaywork.functions.columns import clock, from_micros, second_index, seconds_between
+from quaywork.functions.skew import join_checked, numbered
 
 CONTAINERS = ("archive", "inbound")
-LONGEST_NAME = 255
 
 
-def _as_received(text: DataFrame, as_of: datetime | None) -> DataFrame:
+def _as_received(text: DataFrame) -> DataFrame:
     meta = F.col("_metadata")
     return text.select(
-        # A stable id: the same stored file always gets the same one.
-        F.abs(F.xxhash64(meta["file_path"], meta["file_modification_time"]) % (1 << 31)).alias("RawId"),
+        meta["file_path"].alias("FilePath"),
         meta["file_name"].alias("FileName"),
         F.col("value").alias("RawEDIText"),
-        clock(as_of).alias("LoadDateTime"),
+        from_micros(F.unix_micros(meta["file_modification_time"])).alias("LoadDateTime"),
         F.lit("RAW_LOADED").alias("ProcessStatus"),
         F.lit(None).cast("timestamp_ntz").alias("ParsedDateTime"),
         *[
@@ -33,10 +32,35 @@ def _as_received(text: DataFrame, as_of: datetime | None) -> DataFrame:
     )
 
 
-def ingest_files(spark: SparkSession, path: str, as_of: datetime | None = None) -> DataFrame:
-    """One RAW_LOADED row per file below ``path``; an empty file keeps its row."""
+def number_files(received: DataFrame, after: int = 0) -> DataFrame:
+    """Add a gap-free RawId that grows with the arrival second.
+
+    Numbering works on paths and times alone; the texts stay where they are
+    unless the numbers are too many to broadcast.
+    """
+    second = second_index(F.col("LoadDateTime"))
+    place = F.xxhash64("FilePath")
+    # Slices follow (second, hash) order: the ten leading bits of the hash.
+    coarse = second * 1024 + F.shiftrightunsigned(place.bitwiseXOR(F.lit(-(1 << 63))), 54)
+    ids = numbered(
+        received.select("FilePath", "LoadDateTime").withColumn("_all", F.lit(1)),
+        ["_all"],
+        [second, place, F.col("FilePath")],
+        coarse,
+        "RawId",
+    ).select("FilePath", (F.col("RawId") + after).alias("RawId"))
+    numbered_files = join_checked(received, ids, "FilePath", "inner")
+    return numbered_files.select(*S.columns("files"))
+
+
+def ingest_files(spark: SparkSession, path: str, after: int = 0) -> DataFrame:
+    """One RAW_LOADED row per file below ``path``; an empty file keeps its row.
+
+    Ids continue after ``after``.  A file is one row, which Spark limits to
+    2 GB; interchanges are far smaller.
+    """
     whole = spark.read.format("text").option("wholetext", "true").load(path)
-    return _as_received(whole, as_of)
+    return number_files(_as_received(whole), after)
 
 
 def stream_files(
@@ -44,15 +68,17 @@ def stream_files(
     path: str,
     archive: str | None = None,
     max_files: int | None = None,
-    as_of: datetime | None = None,
 ) -> DataFrame:
-    """Files as they arrive; with ``archive`` a processed file leaves the inbound folder."""
+    """Files as they arrive; with ``archive`` a processed file leaves the inbound folder.
+
+    Numbers are given per micro-batch by :func:`number_files`.
+    """
     reader = spark.readStream.format("text").option("wholetext", "true")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _as_received(reader.load(path), as_of)
+    return _as_received(reader.load(path))
 
 
 def list_files(spark: SparkSession, path: str, container: str = "inbound") -> DataFrame:
@@ -63,7 +89,7 @@ def list_files(spark: SparkSession, path: str, container: str = "inbound") -> Da
         .select(
             F.lit(container).alias("Container"),
             F.element_at(F.split("path", "/"), -1).alias("BlobName"),
-            F.col("modificationTime").cast("timestamp_ntz").alias("ModifiedDateTime"),
+            from_micros(F.unix_micros("modificationTime")).alias("ModifiedDateTime"),
             F.col("length").alias("Bytes"),
         )
     )
@@ -86,12 +112,11 @@ def locate_files(names: DataFrame, listing: DataFrame) -> DataFrame:
     asked names are tried.
     """
     asked = names.select("FileName").distinct()
-    lengths = asked.select(F.length("FileName").alias("n")).agg(F.collect_set("n").alias("_lengths"))
-    rank = F.when(F.col("Container") == CONTAINERS[0], 0).otherwise(1)
     # At most 255 lengths, the declared width of a file name.
+    lengths = asked.agg(F.collect_set(F.length("FileName")).alias("lengths")).scalar()
+    rank = F.when(F.col("Container") == CONTAINERS[0], 0).otherwise(1)
     offered = (
-        listing.select("Container", "BlobName", rank.alias("_rank"))
-        .join(F.broadcast(lengths), F.lit(True), "inner")
+        listing.select("Container", "BlobName", rank.alias("_rank"), lengths.alias("_lengths"))
         .select(
             "Container",
             "BlobName",
@@ -132,6 +157,7 @@ def read_intake_scores(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(S.schema("intake_scores"))
         .option("header", "true")
+        .option("escape", "\"")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
