@@ -54,10 +54,11 @@ def number_files(received: DataFrame, after: int = 0) -> DataFrame:
 
 
 def ingest_files(spark: SparkSession, path: str, after: int = 0) -> DataFrame:
-    """One RAW_LOADED row per file below ``path``; an empty file keeps its row.
+    """One RAW_LOADED row per file below ``path``; a blank file keeps its row.
 
     Ids continue after ``after``.  A file is one row, which Spark limits to
-    2 GB; interchanges are far smaller.
+    2 GB; interchanges are far smaller.  Spark's file sources do not list files
+    of zero bytes, so those never arrive.
     """
     whole = spark.read.format("text").option("wholetext", "true").load(path)
     return number_files(_as_received(whole), after)
