@@ -28,7 +28,7 @@ from quaywork.functions.columns import (
     safe_decimal,
     safe_int,
 )
-from quaywork.functions.skew import join_checked
+from quaywork.functions.skew import BROADCAST_ROWS, join_checked
 
 LINES_PER_TRANSACTION = 9_999
 TRANSACTIONS_PER_FILE = 100
@@ -526,6 +526,30 @@ def envelope_check(files: DataFrame) -> DataFrame:
     return facts.join(repeated, "_isa13", "left").select("RawId", "FileName", reason.alias("Reason"))
 
 
+def _dealt(lines: DataFrame, max_lines: int) -> DataFrame:
+    """Lines of large orders, each dealt to one of the order's sets.
+
+    Equal lines are counted first and dealt out in blocks.  The dealing depends
+    on content only, so a retried task repeats it.
+    """
+    block = F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(max_lines)))
+    )
+    left_over = F.col("_n") - F.col("_block") * max_lines
+    return (
+        lines.groupBy("OrderId", "_sets", "SortKey", "_w01")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_block", block)
+        .select(
+            "OrderId",
+            "SortKey",
+            "_w01",
+            F.pmod(F.xxhash64("SortKey", "_w01", "_block"), F.col("_sets")).alias("_set"),
+            F.least(F.lit(max_lines), left_over).cast("int").alias("_copies"),
+        )
+    )
+
+
 def render_940(
     orders: DataFrame,
     lines: DataFrame,
@@ -551,30 +575,21 @@ def render_940(
         .where(F.col("_n") > max_lines)
         .select("OrderId", F.ceil(F.col("_n") / F.lit(max_lines)).alias("_sets"))
     )
-    sized = written.join(oversized, "OrderId", "left")
-    usual = sized.where(F.col("_sets").isNull()).select(
-        "OrderId", F.lit(0).cast("bigint").alias("_set"), "SortKey", "_w01", F.lit(1).alias("_copies")
-    )
-    # Equal lines of a large order are counted first, then dealt out in blocks.
-    # The dealing depends on content only, so a retried task repeats it.
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(max_lines))))
-    dealt = (
-        sized.where(F.col("_sets").isNotNull())
-        .groupBy("OrderId", "_sets", "SortKey", "_w01")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_block", block)
-        .select(
-            "OrderId",
-            F.pmod(F.xxhash64("SortKey", "_w01", "_block"), F.col("_sets")).alias("_set"),
-            "SortKey",
-            "_w01",
-            F.least(F.lit(max_lines), F.col("_n") - F.col("_block") * max_lines).cast("int").alias("_copies"),
+    big = oversized.limit(BROADCAST_ROWS + 1).count()
+    keys = ["OrderId"]
+    usual = written.withColumns({"_set": F.lit(0).cast("bigint"), "_copies": F.lit(1)})
+    if big:
+        keys = ["OrderId", "_set"]
+        oversized = F.broadcast(oversized) if big <= BROADCAST_ROWS else oversized
+        usual = usual.join(oversized, "OrderId", "left_anti").unionByName(
+            _dealt(written.join(oversized, "OrderId"), max_lines)
         )
-    )
     sets = (
-        usual.unionByName(dealt)
-        .groupBy("OrderId", "_set")
-        .agg(F.array_sort(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"))
+        usual.groupBy(*keys)
+        .agg(
+            F.array_sort(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"),
+            *([] if big else [F.lit(0).cast("bigint").alias("_set")]),
+        )
         .select(
             "OrderId",
             "_set",
