@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql.types import StructType
 
 _DDL = {
@@ -66,7 +68,8 @@ def schema(table: str) -> StructType:
 
 
 def columns(table: str) -> list[str]:
-    return schema(table).fieldNames()
+    """Column names, also before a session exists."""
+    return re.findall(r"(?:^|,)\s*(\w+) ", _DDL[table])
 
 
 # Declared text widths of the parsed tables.
