@@ -91,7 +91,7 @@ def blank_to_null(value: Column) -> Column:
 
 def edi_element(segment: Column, position: int) -> Column:
     """Element ``position`` of a segment; 0 is the segment id, blank is NULL."""
-    return blank_to_null(F.get(F.split(segment, "[*]", -1), F.lit(position)))
+    return blank_to_null(F.get(F.split(segment, r"\*", -1), F.lit(position)))
 
 
 def safe_decimal(text: Column, precision: int = 18, scale: int = 4) -> Column:

@@ -33,6 +33,8 @@ from quaywork.functions.skew import BROADCAST_ROWS, join_checked
 LINES_PER_TRANSACTION = 9_999
 TRANSACTIONS_PER_FILE = 100
 ID_SPAN = 1 << 31
+# Element separator; an escaped single character is split without a regex engine.
+ELEMENT = r"\*"
 
 
 def _segment_texts(text: Column) -> Column:
@@ -72,7 +74,7 @@ def enrich_isa(files: DataFrame) -> DataFrame:
     isa = first_where(
         _segment_texts(F.col("RawEDIText")), lambda s: F.substring(s, 1, 4).ilike("ISA*")
     )
-    elements = F.transform(F.split(isa, "[*]", -1), blank_to_null)
+    elements = F.transform(F.split(isa, ELEMENT, -1), blank_to_null)
     return (
         files.withColumn("_isa", elements)
         .withColumn("ISASender", F.get("_isa", F.lit(6)))
@@ -95,7 +97,7 @@ def tokenize(files: DataFrame) -> DataFrame:
 
 def segment_elements(segments: DataFrame, upto: int) -> DataFrame:
     """Elements 1..``upto`` of each segment as columns ``E01``, ``E02``, ..."""
-    split = segments.withColumn("_e", F.split("SegmentText", "[*]", -1))
+    split = segments.withColumn("_e", F.split("SegmentText", ELEMENT, -1))
     picked = [
         blank_to_null(F.get("_e", F.lit(i))).alias(f"E{i:02d}") for i in range(1, upto + 1)
     ]
@@ -103,7 +105,7 @@ def segment_elements(segments: DataFrame, upto: int) -> DataFrame:
 
 
 def _element(segment: Column, position: int) -> Column:
-    return F.get(segment["e"], F.lit(position))
+    return blank_to_null(F.get(segment["e"], F.lit(position)))
 
 
 def _first_segment(name: str) -> Column:
@@ -170,9 +172,6 @@ def _transaction(start: Column, block: Column) -> Column:
         _element(trailer, 2).alias("SE02_ControlNumber"),
         F.transform(F.filter(inside, lambda s: s["id"] == "N1"), _address).alias("addresses"),
         F.transform(F.filter(inside, lambda s: s["id"] == "W01"), _detail).alias("details"),
-        F.transform(inside, lambda s: F.struct(s["seq"].alias("seq"), s["id"].alias("id"))).alias(
-            "segments"
-        ),
     )
 
 
@@ -203,7 +202,7 @@ def split_blocks(files: DataFrame) -> DataFrame:
         lambda s, i: F.struct(
             (i + 1).cast("int").alias("seq"),
             _segment_id(s).alias("id"),
-            F.transform(F.split(s, "[*]", -1), blank_to_null).alias("e"),
+            F.split(s, ELEMENT, -1).alias("e"),
         ),
     )
     closings = F.transform(
@@ -308,11 +307,10 @@ def transactions(parsed: DataFrame) -> DataFrame:
 
 
 def assigned_segments(parsed: DataFrame) -> DataFrame:
-    """Segments by transaction; a segment under nested STs appears once for each."""
+    """Segment numbers by transaction; under nested STs one appears for each."""
     rows = _unfold(parsed, "transactions", "t", "RawId")
-    return _unfold(rows, "t.segments", "s", "RawId", "t.STSegmentSeq").select(
-        "RawId", "STSegmentSeq", F.col("s.seq").alias("SegmentSeq"), F.col("s.id").alias("SegmentId")
-    )
+    numbers = F.sequence("t.STSegmentSeq", "t.SESegmentSeq")
+    return rows.select("RawId", "t.STSegmentSeq", F.explode(numbers).alias("SegmentSeq"))
 
 
 def headers(parsed: DataFrame) -> DataFrame:
@@ -585,7 +583,9 @@ def render_940(
             _dealt(written.join(oversized, "OrderId"), max_lines)
         )
     sets = (
-        usual.groupBy(*keys)
+        # Collecting shrinks nothing, so rows are moved first and gathered after.
+        usual.repartition(*keys)
+        .groupBy(*keys)
         .agg(
             F.array_sort(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"),
             *([] if big else [F.lit(0).cast("bigint").alias("_set")]),
@@ -619,7 +619,7 @@ def render_940(
             ),
         )
     )
-    grouped = bodies.groupBy("RawId", "_file").agg(
+    grouped = bodies.repartition("RawId", "_file").groupBy("RawId", "_file").agg(
         F.array_sort(
             F.collect_list(F.struct("OrderId", "_set", "_head", F.col("_count").alias("n")))
         ).alias("_sets"),

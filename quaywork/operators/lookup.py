@@ -89,7 +89,7 @@ def control_number_of(text: Column) -> Column:
     """ISA.13 read from raw interchange text."""
     segments = F.split(F.translate(text, "\r\n", ""), "~", -1)
     isa = first_where(
-        F.transform(segments, lambda s: F.split(F.trim(s), "[*]", -1)),
+        F.transform(segments, lambda s: F.split(F.trim(s), r"\*", -1)),
         lambda e: (F.upper(F.trim(F.get(e, F.lit(0)))) == "ISA") & (F.size(e) > 13),
     )
     return F.trim(F.get(isa, F.lit(13)))

@@ -103,7 +103,7 @@ def transactions(d):
     "SELECT RawId, st AS STSegmentSeq, st + i AS SegmentSeq FROM (SELECT *, unnest(range(0, n + 4)) AS i FROM txn)",
 )
 def assign_segments(d):
-    return I.assigned_segments(d.parsed).drop("SegmentId")
+    return I.assigned_segments(d.parsed)
 
 
 @query(
