@@ -59,6 +59,24 @@ def fit(d):
     )
 
 
+@query(
+    "i3_cross_validate_linear",
+    "days",
+    """WITH d AS (SELECT *, date_diff('day', DATE '1970-01-01', day) % 5 AS fold FROM days),
+       m AS (SELECT k, avg(orders_shipped) AS my, avg(packer_hours) AS ma, avg(complexity) AS mb,
+         covar_samp(packer_hours, packer_hours) AS aa, covar_samp(complexity, complexity) AS bb, covar_samp(packer_hours, complexity) AS ab,
+         covar_samp(orders_shipped, packer_hours) AS ya, covar_samp(orders_shipped, complexity) AS yb
+         FROM (SELECT unnest(range(5)) AS k) JOIN d ON fold <> k GROUP BY k),
+       c AS (SELECT *, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS p, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS q FROM m),
+       e AS (SELECT k, orders_shipped AS y, orders_shipped - (my + p * (packer_hours - ma) + q * (complexity - mb)) AS err FROM c JOIN d ON fold = k),
+       s AS (SELECT k, 1 - sum(err * err) / (var_pop(y) * count(*)) AS r2, avg(abs(err)) AS mae FROM e GROUP BY k)
+       SELECT 'linear regression' AS model, round(avg(r2), 5) AS r2, round(avg(mae), 5) AS mae FROM s""",
+)
+def cross_validate_linear(d):
+    scores = K.cross_validate(d.capacity_days, forest=False)
+    return scores.select("model", F.round("r2", 5).alias("r2"), F.round("mae", 5).alias("mae"))
+
+
 @query("i3_cross_validate")
 def cross_validate(d):
     return K.cross_validate(d.capacity_days)

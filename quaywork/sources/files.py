@@ -32,18 +32,23 @@ def _as_received(text: DataFrame) -> DataFrame:
     )
 
 
-def number_files(received: DataFrame, after: int = 0) -> DataFrame:
+def number_files(
+    received: DataFrame, after: int = 0, listing: DataFrame | None = None
+) -> DataFrame:
     """Add a gap-free RawId that grows with the arrival second.
 
-    Numbering works on paths and times alone; the texts stay where they are
-    unless the numbers are too many to broadcast.
+    Numbering works on paths and times alone, from ``listing`` where one is
+    given; the texts stay where they are unless the numbers are too many to
+    broadcast.
     """
     second = second_index(F.col("LoadDateTime"))
     place = F.xxhash64("FilePath")
     # Slices follow (second, hash) order: the ten leading bits of the hash.
     coarse = second * 1024 + F.shiftrightunsigned(place.bitwiseXOR(F.lit(-(1 << 63))), 54)
     ids = numbered(
-        received.select("FilePath", "LoadDateTime").withColumn("_all", F.lit(1)),
+        (received if listing is None else listing)
+        .select("FilePath", "LoadDateTime")
+        .withColumn("_all", F.lit(1)),
         ["_all"],
         [second, place, F.col("FilePath")],
         coarse,
@@ -61,7 +66,13 @@ def ingest_files(spark: SparkSession, path: str, after: int = 0) -> DataFrame:
     of zero bytes, so those never arrive.
     """
     whole = spark.read.format("text").option("wholetext", "true").load(path)
-    return number_files(_as_received(whole), after)
+    # The binary source lists files without opening them.
+    meta = F.col("_metadata")
+    listing = spark.read.format("binaryFile").load(path).select(
+        meta["file_path"].alias("FilePath"),
+        from_micros(F.unix_micros(meta["file_modification_time"])).alias("LoadDateTime"),
+    )
+    return number_files(_as_received(whole), after, listing)
 
 
 def stream_files(

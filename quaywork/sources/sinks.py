@@ -34,9 +34,13 @@ def with_day_parts(df: DataFrame, column: str) -> DataFrame:
 
 
 def export_lake(df: DataFrame, path: str, column: str) -> None:
-    """Parquet under year/month/day; only the days in ``df`` are rewritten."""
+    """Parquet under year/month/day; only the days in ``df`` are rewritten.
+
+    Rebalancing gives a day few files and spreads a day that is very large.
+    """
     (
         with_day_parts(df, column)
+        .hint("rebalance", "year", "month", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day")
@@ -77,7 +81,8 @@ def export_tabular(df: DataFrame, path: str) -> None:
 
 def write_customer_reports(detail: DataFrame, path: str) -> None:
     """One folder per customer, so no file mixes two customers' exceptions."""
-    detail.write.mode("overwrite").partitionBy("isaSender").option("header", "true").csv(path)
+    balanced = detail.hint("rebalance", "isaSender")
+    balanced.write.mode("overwrite").partitionBy("isaSender").option("header", "true").csv(path)
 
 
 def processing_entries(activity: DataFrame) -> DataFrame:

@@ -27,9 +27,16 @@ def event_time(column: str) -> Column:
     return F.timestamp_micros(micros(F.col(column).cast("timestamp_ntz")))
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
-    """One stored table as a stream of its rows."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+def table_stream(
+    spark: SparkSession, folder: str, name: str, schema: T.StructType, max_files: int = 16
+) -> DataFrame:
+    """One stored table as a stream of its rows.
+
+    ``max_files`` bounds a micro-batch, and with it what one key can bring to
+    one call of a stateful job.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
