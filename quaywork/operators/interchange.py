@@ -587,7 +587,7 @@ def render_940(
         usual.repartition(*keys)
         .groupBy(*keys)
         .agg(
-            F.array_sort(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"),
+            F.sort_array(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"),
             *([] if big else [F.lit(0).cast("bigint").alias("_set")]),
         )
         .select(
@@ -620,7 +620,7 @@ def render_940(
         )
     )
     grouped = bodies.repartition("RawId", "_file").groupBy("RawId", "_file").agg(
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.struct("OrderId", "_set", "_head", F.col("_count").alias("n")))
         ).alias("_sets"),
         F.min_by(F.struct("Sender", "Receiver", "ControlNumber", "DateText"), "OrderId").alias("_e"),

@@ -351,7 +351,7 @@ def negative_feedback_context(feedback: DataFrame, n: int = 5) -> DataFrame:
         '" because: "', F.trim("Comment"), '"',
     )
     lines = F.transform(
-        F.array_sort(
+        F.sort_array(
             F.collect_list(
                 F.struct(
                     (-micros(F.col("CreatedDateTime"))).alias("t"),
