@@ -8,6 +8,7 @@ from quaywork.plans import (  # noqa: F401
     report_queries,
     staging_queries,
     stream_queries,
+    view_queries,
 )
 from quaywork.plans.registry import ORACLES, QUERIES
 
