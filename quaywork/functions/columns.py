@@ -89,6 +89,11 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(F.trim(value), F.lit(""))
 
 
+def strip(value: Column) -> Column:
+    """Without white space of any kind at both ends (``trim`` knows blanks only)."""
+    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+
+
 def edi_element(segment: Column, position: int) -> Column:
     """Element ``position`` of a segment; 0 is the segment id, blank is NULL."""
     return blank_to_null(F.get(F.split(segment, r"\*", -1), F.lit(position)))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaywork.functions.columns import join_text, minute_index
+from quaywork.functions.columns import join_text, minute_index, strip
 from quaywork.functions.skew import numbered, running_sum
 
 # Status texts, prefixes and the cost defaults.
@@ -67,7 +67,7 @@ def force_tier(requests: DataFrame, text: Column, keywords: Sequence[str]) -> Da
     """Escalate to tier C on a keyword, note it, and set the opening status."""
     keyword = F.col("ForcedKeyword")
     escalated = keyword.isNotNull() & (F.col("Tier") != "C")
-    note = F.trim(
+    note = strip(
         join_text(
             F.col("RiskNotes"), " (force-escalated to Tier C: matched keyword '", keyword, "')"
         )
@@ -165,11 +165,11 @@ def _decided(requests: DataFrame, events: DataFrame) -> DataFrame:
         )
         .when((action == "start-build") & at_build, F.concat(F.lit("Approved (Gate 1)"), signed))
         .when(
-            (action == "merge") & status.startswith("Implemented") & F.col("Branch").isNotNull(),
+            (action == "merge") & status.startswith("Implemented") & (F.col("Branch") != ""),
             F.concat(F.lit("Merged (Gate 2)"), signed),
         )
         .when(
-            (action == "rollback") & status.startswith("Merged") & F.col("MergeCommit").isNotNull(),
+            (action == "rollback") & status.startswith("Merged") & (F.col("MergeCommit") != ""),
             F.concat(F.lit("Rolled back (Gate 2)"), signed),
         )
         .when(
@@ -278,7 +278,7 @@ def validate_record(replies: DataFrame, column: str = "JsonText") -> DataFrame:
             .when(lowered.startswith("object"), kinds["object"])
             .when(lowered == "string", kinds["string"])
             .when(lowered == "boolean", kinds["boolean"])
-            .when(lowered == "bigint", "int")
+            .when((lowered == "bigint") | lowered.rlike(r"^decimal\([0-9]+,0\)$"), "int")
             .when(lowered == "void", kinds["null"])
             .otherwise("float")
         )
@@ -305,10 +305,11 @@ def validate_record(replies: DataFrame, column: str = "JsonText") -> DataFrame:
             ),
         )
     )
-    tokens = F.try_element_at(fields, F.lit("estimated_tokens")).try_cast("bigint")
+    tokens = F.try_element_at(fields, F.lit("estimated_tokens"))
+    number = F.when(tokens == "false", 0).otherwise(tokens.try_cast("decimal(38,0)"))
     problems.append(
         F.when(
-            (kind("estimated_tokens") == "int") & (tokens <= 0),
+            kind("estimated_tokens").isin("int", "bool") & (number <= 0),
             "estimated_tokens: expected a realistic non-zero estimate, got <= 0",
         )
     )
@@ -321,13 +322,15 @@ def transcript_pairs(turns: DataFrame) -> DataFrame:
     Turns are numbered from 0; turn 0 is the request, every odd turn asks and
     the next one answers, so the pairing is an equi-join.
     """
-    asked = turns.where(F.col("turn") % 2 == 1).select("conv_id", "turn", F.trim("text").alias("_q"))
+    asked = turns.where(F.col("turn") % 2 == 1).select(
+        "conv_id", "turn", strip(F.col("text")).alias("_q")
+    )
     answered = turns.where((F.col("turn") > 0) & (F.col("turn") % 2 == 0)).select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("Answer")
     )
     question = F.when(
         F.col("_q").startswith(QUESTION_MARK),
-        F.trim(F.substring(F.col("_q"), len(QUESTION_MARK) + 1, 1 << 30)),
+        strip(F.substring(F.col("_q"), len(QUESTION_MARK) + 1, 1 << 30)),
     ).otherwise(F.col("_q"))
     return asked.join(answered, ["conv_id", "turn"]).select(
         "conv_id", "turn", question.alias("Question"), "Answer"

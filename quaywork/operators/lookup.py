@@ -17,6 +17,7 @@ from quaywork.functions.columns import (
     first_where,
     join_text,
     micros,
+    strip,
     timestamp_text,
 )
 from quaywork.functions.skew import bounded_pieces, previous
@@ -89,10 +90,10 @@ def control_number_of(text: Column) -> Column:
     """ISA.13 read from raw interchange text."""
     segments = F.split(F.translate(text, "\r\n", ""), "~", -1)
     isa = first_where(
-        F.transform(segments, lambda s: F.split(F.trim(s), r"\*", -1)),
-        lambda e: (F.upper(F.trim(F.get(e, F.lit(0)))) == "ISA") & (F.size(e) > 13),
+        F.transform(segments, lambda s: F.split(strip(s), r"\*", -1)),
+        lambda e: (F.upper(strip(F.get(e, F.lit(0)))) == "ISA") & (F.size(e) > 13),
     )
-    return F.trim(F.get(isa, F.lit(13)))
+    return strip(F.get(isa, F.lit(13)))
 
 
 def isa_lookup(questions: DataFrame, files: DataFrame) -> DataFrame:
@@ -197,7 +198,7 @@ def resolve_alias(terms: DataFrame, aliases: DataFrame, column: str = "Customer"
         F.min_by("CustomerCode", "AliasId").alias("_code")
     )
     return (
-        terms.withColumn("_alias", ci_key(F.trim(column)))
+        terms.withColumn("_alias", ci_key(strip(F.col(column))))
         .join(known, "_alias", "left")
         .withColumn("CustomerCode", F.coalesce("_code", column))
         .drop("_alias", "_code")
@@ -305,9 +306,9 @@ def history_tail(turns: DataFrame, n: int = 5) -> DataFrame:
 
 
 def _feedback_facts(raw: DataFrame) -> DataFrame:
-    question = F.trim(F.coalesce("QuestionText", F.lit("")))
-    answer = F.trim(F.coalesce("ResponseText", F.lit("")))
-    comment = F.nullif(F.trim("Comment"), F.lit(""))
+    question = strip(F.coalesce("QuestionText", F.lit("")))
+    answer = strip(F.coalesce("ResponseText", F.lit("")))
+    comment = F.nullif(strip(F.col("Comment")), F.lit(""))
     problem = (
         F.when(
             ~F.coalesce(F.col("Rating").isin(1, -1), F.lit(False)),
@@ -344,11 +345,11 @@ def negative_feedback_context(feedback: DataFrame, n: int = 5) -> DataFrame:
         feedback.where(F.col("Rating") == -1)
         .orderBy(F.col("CreatedDateTime").desc(), F.col("FeedbackId").desc())
         .limit(n)
-        .where(F.trim(F.coalesce("Comment", F.lit(""))) != "")
+        .where(strip(F.coalesce("Comment", F.lit(""))) != "")
     )
     line = join_text(
         '- A user disliked a past reply to "', F.col("QuestionText"),
-        '" because: "', F.trim("Comment"), '"',
+        '" because: "', strip(F.col("Comment")), '"',
     )
     lines = F.transform(
         F.sort_array(
@@ -383,7 +384,7 @@ def search_lines(corpus: DataFrame, literal: str, n: int | None = 20) -> DataFra
     hits = lines.where(F.lower("_line").contains(needle)).select(
         "Id",
         (F.col("_pos") + 1).alias("LineNo"),
-        F.substring(F.regexp_replace("_line", r"(?U)^\s+|\s+$", ""), 1, 200).alias("Snippet"),
+        F.substring(strip(F.col("_line")), 1, 200).alias("Snippet"),
     )
     return hits if n is None else hits.orderBy("Id", "LineNo").limit(n)
 

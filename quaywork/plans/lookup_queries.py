@@ -407,7 +407,7 @@ def validate_record(d):
 @query(
     "h10_transcript_pairs",
     "",
-    """SELECT a.conv_id, a.turn, trim(a.text, ' ') AS Question, b.text AS Answer FROM conversations a JOIN conversations b
+    """SELECT a.conv_id, a.turn, regexp_replace(a.text, '^\\s+|\\s+$', '', 'g') AS Question, b.text AS Answer FROM conversations a JOIN conversations b
        ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 WHERE a.turn % 2 = 1""",
 )
 def transcript_pairs(d):

@@ -199,7 +199,7 @@ VIEWS: dict[str, tuple[str, str]] = {
         CASE WHEN doc_id % 19 = 0 THEN '' ELSE concat('Question ', doc_id % 40) END AS QuestionText,
         concat('Reply in ', lang) AS ResponseText,
         CASE WHEN doc_id % 23 = 0 THEN 5 WHEN doc_id % 3 = 0 THEN -1 ELSE 1 END AS Rating,
-        nullif(trim(CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN text ELSE concat(' note ', doc_id) END, ' '), '') AS Comment,
+        nullif(regexp_replace(CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN text ELSE concat(' note ', doc_id) END, '^\\s+|\\s+$', '', 'g'), '') AS Comment,
         TIMESTAMP '2024-01-01 00:00:00' + CAST(doc_id AS INTEGER) * INTERVAL 1 MINUTE AS CreatedDateTime FROM documents""",
     ),
     "goodfeedback": (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywork import schemas as S
-from quaywork.functions.columns import clock, from_micros, second_index, seconds_between
+from quaywork.functions.columns import clock, from_micros, micros, second_index
 from quaywork.functions.skew import join_checked, numbered
 
 CONTAINERS = ("archive", "inbound")
@@ -109,7 +109,8 @@ def list_files(spark: SparkSession, path: str, container: str = "inbound") -> Da
 
 def queue_metrics(listing: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Files waiting and the age of the oldest in whole seconds; 0 and 0 when empty."""
-    age = seconds_between(F.min("ModifiedDateTime"), clock(as_of))
+    elapsed = micros(clock(as_of)) - micros(F.min("ModifiedDateTime"))
+    age = (elapsed / F.lit(1_000_000)).cast("bigint")
     return listing.agg(
         F.count(F.lit(1)).alias("filesWaiting"),
         F.coalesce(age, F.lit(0)).cast("bigint").alias("oldestFileAgeSeconds"),

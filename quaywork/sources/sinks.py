@@ -61,7 +61,7 @@ def sheet_safe(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(field.dataType, T.BinaryType):
-            value = F.decode(value, "UTF-8")
+            value = F.make_valid_utf8(value.cast("string"))
         return F.coalesce(value.cast("string"), F.lit("")).alias(field.name)
 
     return df.select(*[cell(f) for f in df.schema.fields])
@@ -114,11 +114,14 @@ def load_entries(activity: DataFrame, as_of: datetime | None = None) -> DataFram
 
 
 def run_entries(runs: DataFrame) -> DataFrame:
-    """Run log rows with the minute precision of their time column."""
+    """Run log rows with the minute precision of their time column.
+
+    From 29.999 seconds on, a time counts as the next minute.
+    """
     minute = F.col("RunDateTime") - F.make_dt_interval(
         secs=F.date_part(F.lit("SECOND"), F.col("RunDateTime")).cast("decimal(18,6)")
     )
-    half = F.date_part(F.lit("SECOND"), F.col("RunDateTime")) >= 30
+    half = F.date_part(F.lit("SECOND"), F.col("RunDateTime")) >= 29.999
     rounded = F.when(half, minute + F.expr("INTERVAL '1' MINUTE")).otherwise(minute)
     return runs.withColumn("RunDateTime", rounded)
 
