@@ -241,7 +241,7 @@ def progress_trail(events: DataFrame) -> DataFrame:
         events.select("CRNumber", "EventTime", "EventId", spent.cast("bigint").alias("_spent")),
         ["CRNumber"],
         [F.col("EventTime"), F.col("EventId")],
-        F.floor(minute_index(F.col("EventTime")) / 60),
+        minute_index(F.col("EventTime")),
         F.col("_spent"),
         "TokensSoFar",
     ).drop("_spent")

@@ -403,7 +403,7 @@ def rate_limit(
     stamped = events.select("Key", "EventTime", "EventId", micros(F.col("EventTime")).alias("_t"))
     width = seconds * 1_000_000
     order = [F.col("_t"), F.col("EventId")]
-    slice_by = F.floor(F.col("_t") / width)
+    slice_by = F.floor(F.col("_t") / F.lit(60_000_000))
     chained = previous(stamped, ["Key"], order, slice_by, F.col("_t"), "_prev")
     opens = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > width)
     # The start of a stretch is its last opening so far: a running maximum,

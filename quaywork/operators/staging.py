@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaywork import schemas as S
-from quaywork.functions.columns import ci_key, clock, compact_date, hour_index
+from quaywork.functions.columns import ci_key, clock, compact_date, minute_index
 from quaywork.functions.skew import numbered, previous
 
 LINES_PER_SLICE = 4096
@@ -192,7 +192,7 @@ def applied_events(orders: DataFrame, events: DataFrame) -> DataFrame:
         events,
         [key],
         [F.col("EventTime"), F.col("EventId")],
-        hour_index(F.col("EventTime")),
+        minute_index(F.col("EventTime")),
         F.col("Action"),
         "_before",
     )

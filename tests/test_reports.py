@@ -218,3 +218,39 @@ def test_results_do_not_depend_on_the_session_zone(spark, domain):
         assert got == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_fourteen_files(spark):
+    """A day of fourteen files: three delivered, one moving, one rejected, nine unreadable."""
+    reasons = list(S.ENVELOPE_REASONS.values())
+    files = file_rows(
+        spark,
+        [(14 - i, 4000 - i, "STAGED", None, "LOW", False) for i in range(5)]
+        + [(9 - i, 4269, "PARSE_FAILED", r, "TGT", False) for i, r in enumerate(reasons)],
+    )
+    headers = spark.createDataFrame([(140, 14), (130, 13), (120, 12), (110, 11), (100, 10)], "HeaderId bigint, RawId bigint")
+    orders = order_rows(
+        spark,
+        [(140, "SUCCESS", 4268, None, None), (130, "SUCCESS", 4268, None, None), (120, "SUCCESS", 4268, None, None),
+         (110, "READY", 50, None, None), (100, "FAILED", 100, 99, "Invalid SKU on line 2")],
+    )
+    recon = R.file_reconciliation(files, headers, orders, NOW)
+    buckets = {r["status"]: r["count"] for r in R.outcome_buckets(recon).collect()}
+    assert buckets == {"Delivered": 3, "Reported to Customer": 0, "In Progress": 1, "Needs Attention": 1, "Parse Failed": 9}
+    why = {r["RawId"]: r["AttentionReason"] for r in recon.collect()}
+    assert why[10] == "1 of 1 order(s) rejected by WMS: Invalid SKU on line 2" and why[11] is None
+    assert [why[9 - i] for i in range(9)] == reasons
+    gates = {r["GateName"]: (r["ItemCount"], r["OldestItemAgeMinutes"], r["GateStatusColor"]) for r in R.pipeline_funnel(files, orders, NOW).collect()}
+    assert gates["Files Received"] == (14, 4269, "GREEN") and gates["Parse Failed"] == (9, 4269, "GREEN")
+    assert gates["WMS Awaiting Pickup"] == (1, 50, "GREEN") and gates["WMS Success"] == (3, 4268, "GREEN")
+    assert gates["Parsed Successfully"] == (0, None, "GREEN") and gates["WMS Failed"] == (1, 99, "GREEN")
+    summary = R.dashboard_summary(files, orders).first()
+    assert (summary["filesReceived"], summary["filesFailed"], summary["wmsPickedUp"]) == (14, 9, 4)
+
+
+def test_badges(spark):
+    df = spark.createDataFrame([("PARSED", 59), ("READY", 60), ("SENT", 300), ("FAILED", 301), ("STAGED", None)], "s string, n int")
+    rows = df.select(R.status_class(F.col("s")), R.queue_color(F.col("n"))).collect()
+    assert [tuple(r) for r in rows] == [
+        ("good", "queue-green"), ("ready", "queue-yellow"), ("sent", "queue-yellow"), ("bad", "queue-red"), ("neutral", "queue-green")
+    ]
