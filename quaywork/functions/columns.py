@@ -16,10 +16,6 @@ DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 
 
-def as_column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
 def clock(as_of: datetime | Column | None) -> Column:
     """The "now" of a time-relative operator; the wall clock only by default."""
     if as_of is None:

@@ -95,15 +95,6 @@ def tokenize(files: DataFrame) -> DataFrame:
     )
 
 
-def segment_elements(segments: DataFrame, upto: int) -> DataFrame:
-    """Elements 1..``upto`` of each segment as columns ``E01``, ``E02``, ..."""
-    split = segments.withColumn("_e", F.split("SegmentText", ELEMENT, -1))
-    picked = [
-        blank_to_null(F.get("_e", F.lit(i))).alias(f"E{i:02d}") for i in range(1, upto + 1)
-    ]
-    return split.select("RawId", "SegmentSeq", "SegmentId", *picked)
-
-
 def _element(segment: Column, position: int) -> Column:
     return blank_to_null(F.get(segment["e"], F.lit(position)))
 

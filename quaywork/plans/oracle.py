@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 _ORDERS_NOW = "TIMESTAMP '2001-08-01 12:00:00'"
-_EVENTS_NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 _LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_discount, l_tax"
 
 # name -> (names it builds on, body)
