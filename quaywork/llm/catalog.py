@@ -1,6 +1,11 @@
 """All queries of this subpackage and their checking SQL."""
 
-from quaywork.llm import mixing_queries, simhash_queries  # noqa: F401
+from quaywork.llm import (  # noqa: F401
+    mixing_queries,
+    pieces_queries,
+    simhash_queries,
+    toxicity_queries,
+)
 from quaywork.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
