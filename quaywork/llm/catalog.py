@@ -3,6 +3,7 @@
 from quaywork.llm import (  # noqa: F401
     mixing_queries,
     pieces_queries,
+    privacy_queries,
     simhash_queries,
     toxicity_queries,
 )
