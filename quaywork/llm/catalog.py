@@ -6,6 +6,7 @@ from quaywork.llm import (  # noqa: F401
     privacy_queries,
     simhash_queries,
     toxicity_queries,
+    warc_queries,
 )
 from quaywork.llm.registry import ORACLES, QUERIES
 
