@@ -1,6 +1,7 @@
 """All queries of this subpackage and their checking SQL."""
 
 from quaywork.llm import (  # noqa: F401
+    chat_queries,
     language_queries,
     mixing_queries,
     pieces_queries,
