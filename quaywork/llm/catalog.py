@@ -6,6 +6,7 @@ from quaywork.llm import (  # noqa: F401
     mixing_queries,
     pieces_queries,
     privacy_queries,
+    range_join_queries,
     simhash_queries,
     toxicity_queries,
     warc_queries,
