@@ -130,7 +130,7 @@ class Chain:
             [np.arange(n) + s * STEP for n, s in zip(lengths, starts, strict=True) if n]
         )
         emit = np.ones((count * STEP, size))
-        emit[slot] = np.exp(scores - scores.max(axis=1, keepdims=True))
+        emit[slot] = np.exp(np.maximum(scores - scores.max(axis=1, keepdims=True), -60))
         real = np.zeros(count * STEP, bool)
         real[slot] = True
         emit, real = emit.reshape(count, STEP, size), real.reshape(count, STEP)

@@ -29,15 +29,17 @@ class Options:
     ``max_rows``: labelled documents that are learned from, the least by a hash
     of their key.  ``max_terms``: buckets that may carry weights, the most
     telling by likelihood ratio; ``min_ratio`` and ``min_rows`` they must reach.
+    A fit takes ``epochs`` passes, and at least ``least_steps`` batches of 256 rows.
     """
 
     bits: int = 20
     max_rows: int = 20_000
-    max_terms: int = 2048
-    min_ratio: float = 12.0
+    max_terms: int = 1024
+    min_ratio: float = 15.0
     min_rows: int = 4
     rank: int = 4
-    epochs: int = 60
+    epochs: int = 20
+    least_steps: int = 2000
     rate: float = 0.1
     penalty: float = 1e-3
     seed: int = 7
@@ -76,33 +78,36 @@ class Machine:
 
 
 def _fit(rows: list[list[int]], labels: np.ndarray, buckets: np.ndarray, o: Options) -> Machine:
-    """Logistic loss by adaptive gradient steps over batches of padded rows."""
+    """Logistic loss by adaptive gradient steps over batches of sparse rows."""
     rng = np.random.default_rng(o.seed)
-    size, width = len(buckets), max([1, *map(len, rows)])
-    share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3)) if len(labels) else 0.5
-    bias = np.log(share / (1 - share)) if len(labels) else -4.0
-    weights, pairs = np.zeros(size + 1), rng.normal(0, 0.05, (size + 1, o.rank))
-    pairs[size] = 0  # the padding
-    table = np.full((len(rows), width), size, np.int32)
-    for i, row in enumerate(rows):
-        table[i, : len(row)] = row
-    seen = [1e-8, np.full(size + 1, 1e-8), np.full((size + 1, o.rank), 1e-8)]
-    for _ in range(o.epochs if len(rows) else 0):
+    size = len(buckets)
+    share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
+    bias = np.log(share / (1 - share))
+    weights, pairs = np.zeros(size), rng.normal(0, 0.05, (size, o.rank))
+    seen = [1e-8, np.full(size, 1e-8), np.full((size, o.rank), 1e-8)]
+    batches = -(-len(rows) // 256)
+    for _ in range(max(o.epochs, -(-o.least_steps // batches))):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), 256):
             pick = order[at : at + 256]
-            x, y = table[pick], labels[pick]
+            lengths = np.array([len(rows[i]) for i in pick])
+            owner = np.repeat(np.arange(len(pick)), lengths)
+            x = np.array([t for i in pick for t in rows[i]], np.int64)
             vectors = pairs[x]
-            together = vectors.sum(axis=1)
-            margin = bias + weights[x].sum(axis=1) + 0.5 * ((together**2).sum(1) - (vectors**2).sum((1, 2)))
-            slope = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / len(pick)
-            g_w, g_v = np.zeros_like(weights), np.zeros_like(pairs)
-            np.add.at(g_w, x, np.broadcast_to(slope[:, None], x.shape))
-            np.add.at(g_v, x, slope[:, None, None] * (together[:, None, :] - vectors))
-            g_w += o.penalty / 10 * weights
+
+            def per_row(values: np.ndarray, owner=owner, count=len(pick)) -> np.ndarray:
+                return np.bincount(owner, values, count)
+
+            together = np.stack([per_row(vectors[:, k]) for k in range(o.rank)], axis=1)
+            margin = bias + per_row(weights[x]) + 0.5 * (
+                (together**2).sum(axis=1) - per_row((vectors**2).sum(axis=1))
+            )
+            slope = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[pick]) / len(pick)
+            each = slope[owner]
+            g_w = np.bincount(x, each, size) + o.penalty / 10 * weights
+            pull = each[:, None] * (together[owner] - vectors)
+            g_v = np.stack([np.bincount(x, pull[:, k], size) for k in range(o.rank)], axis=1)
             g_v += o.penalty * pairs
-            g_w[size] = 0
-            g_v[size] = 0
             g_b = slope.sum()
             seen[0] += g_b**2
             seen[1] += g_w**2
@@ -110,7 +115,7 @@ def _fit(rows: list[list[int]], labels: np.ndarray, buckets: np.ndarray, o: Opti
             bias -= o.rate * g_b / np.sqrt(seen[0])
             weights -= o.rate * g_w / np.sqrt(seen[1])
             pairs -= o.rate * g_v / np.sqrt(seen[2])
-    return Machine(buckets, float(bias), weights[:size], pairs[:size], o.bits)
+    return Machine(buckets, float(bias), weights, pairs, o.bits)
 
 
 def _likelihood_ratio(a: Column, b: Column, c: Column, d: Column) -> Column:
