@@ -4,6 +4,7 @@ from quaywork.llm import (  # noqa: F401
     chat_queries,
     language_queries,
     mixing_queries,
+    neighbours_queries,
     pieces_queries,
     privacy_queries,
     range_join_queries,
