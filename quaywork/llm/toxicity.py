@@ -160,7 +160,7 @@ def fit_machine(
         return pa.array([sorted(hashed_terms(t.as_py() or "", bits)) for t in texts], pa.list_(pa.int32()))
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body")).join(F.broadcast(chosen), "key")
-    rows = settle(rows.select("label", buckets_of("body").alias("buckets")), "terms")
+    rows = settle(rows.select("key", "label", buckets_of("body").alias("buckets")), "terms")
     totals = rows.agg(F.count("label").alias("n"), F.sum("label").alias("bad")).first()
     n, bad = totals["n"], totals["bad"] or 0
     if not 0 < bad < n:
@@ -187,7 +187,7 @@ def fit_machine(
         found = [[places[b] for b in x.as_py() if b in places] for x in lists]
         return pa.array(found, pa.list_(pa.int32()))
 
-    learned = rows.select("label", kept("buckets").alias("row")).orderBy("label", F.xxhash64("row"), "row")
+    learned = rows.select("key", "label", kept("buckets").alias("row")).orderBy("key", "row")
     local = learned.toArrow().to_pydict()
     return _fit(local["row"], np.array(local["label"], float), buckets, o)
 
