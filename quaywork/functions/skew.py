@@ -77,6 +77,36 @@ def previous(
     )
 
 
+def latest_before(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    slice_by: Column,
+    value: Column,
+    name: str,
+) -> DataFrame:
+    """The last ``value`` that is not NULL on an earlier row of the key, carried over slice borders.
+
+    Same contract for ``slice_by`` as in :func:`numbered`; rows with equal
+    ``order`` must not exist inside a key.
+    """
+    inside, across = _slice_windows(keys, order)
+    earlier = W.unboundedPreceding, -1
+    sliced = df.withColumn("_slice", slice_by).withColumn("_value", value)
+    carried = (
+        sliced.groupBy(*keys, "_slice")
+        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_last"))
+        .withColumn("_carry", F.last("_last", ignorenulls=True).over(across.rowsBetween(*earlier)))
+        .drop("_last")
+    )
+    return (
+        sliced.withColumn("_local", F.last("_value", ignorenulls=True).over(inside.rowsBetween(*earlier)))
+        .join(carried, [*keys, "_slice"])
+        .withColumn(name, F.coalesce("_local", "_carry"))
+        .drop("_slice", "_value", "_local", "_carry")
+    )
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaywork.functions.columns import join_text, minute_index, strip
-from quaywork.functions.skew import numbered, running_sum
+from quaywork.functions.skew import latest_before, numbered, running_sum
 
 # Status texts, prefixes and the cost defaults.
 PENDING = "Pending Gate 1 review"
@@ -146,71 +146,103 @@ def with_badges(requests: DataFrame) -> DataFrame:
     )
 
 
-def _decided(requests: DataFrame, events: DataFrame) -> DataFrame:
-    """Requests with at most one event each: the new status or why it is refused."""
-    status = F.col("Status")
-    action = F.col("Action")
+def _folded(requests: DataFrame, events: DataFrame) -> DataFrame:
+    """Every event of a known request with ``_new``, the status it sets or NULL, and ``_old``, the one it meets.
+
+    Events take effect in the order of time and id.  No history is gathered,
+    since little of it matters: the first decision at gate 1 counts; while a
+    build is pending or running, the kind of the last start or failure says
+    which, applied or not; the first rejection that meets a pending build ends
+    it; the first merge and the first rollback after it count.  Starting,
+    merging, rolling back and late rejection are for administrators.
+    """
+    status, action, at = F.col("_status"), F.col("Action"), F.struct("EventTime", "EventId")
+    admin = F.coalesce(F.col("IsAdmin"), F.lit(False))
+    stage = (
+        F.when(status == PENDING, "gate 1")
+        .when(status.startswith(PENDING_BUILD), "waiting")
+        .when(status.startswith("Approved"), "building")
+        .when(status.startswith("Implemented"), "built")
+        .when(status.startswith("Merged"), "merged")
+        .otherwise("closed")
+    )
+    known = requests.select("CRNumber", F.col("Status").alias("_status"), "Branch", "MergeCommit")
+    joined = events.join(known, "CRNumber").withColumn("_stage", stage).withColumn("_at", at)
+    decision = (F.col("_stage") == "gate 1") & action.isin("approve", "reject")
+    merge = (F.col("_stage") == "built") & (action == "merge") & admin & (F.col("Branch") != "")
+    firsts = joined.groupBy("CRNumber").agg(
+        F.min(F.when(decision, F.struct("_at", "Action"))).alias("_gate"),
+        F.min(F.when(merge, F.col("_at"))).alias("_merged"),
+    )
+    opened = (F.col("_gate.Action") == "approve") & (F.col("_at") > F.col("_gate._at"))
+    marked = joined.join(firsts, "CRNumber").withColumn(
+        "_in_build", F.col("_stage").isin("waiting", "building") | F.coalesce(opened, F.lit(False))
+    )
+    turn = F.when(F.col("_in_build") & admin & (action == "start-build"), "building").when(
+        F.col("_in_build") & (action == "build-failed"), "waiting"
+    )
+    order, slices = [F.col("EventTime"), F.col("EventId")], minute_index(F.col("EventTime"))
+    turned = latest_before(marked, ["CRNumber"], order, slices, turn, "_turn")
+    building = F.coalesce("_turn", F.when(F.col("_stage") == "building", "building"), F.lit("waiting")) == "building"
+    back = (action == "rollback") & admin & (F.col("MergeCommit") != "")
+    after_merge = (F.col("_stage") == "merged") | (F.col("_at") > F.col("_merged"))
+    ends = turned.groupBy("CRNumber").agg(
+        F.min(F.when(F.col("_in_build") & admin & (action == "reject") & ~building, F.col("_at"))).alias("_ended"),
+        F.min(F.when(back & after_merge, F.col("_at"))).alias("_undone"),
+    )
     stamp = F.substring(F.col("EventTime").cast("string"), 1, 16)
     signed = F.concat(F.lit(" by "), "Actor", F.lit(" on "), stamp, F.lit(" UTC"))
-    at_build = status.startswith(PENDING_BUILD)
-    next_status = (
+    open_build = F.col("_in_build") & (F.col("_ended").isNull() | (F.col("_at") < F.col("_ended")))
+    first_decision = decision & (F.col("_at") == F.col("_gate._at"))
+    new = (
         F.when(
-            (action == "approve") & (status == PENDING),
+            first_decision & (action == "approve"),
             F.concat(F.lit(f"{PENDING_BUILD} -- Gate 1 approved"), signed),
         )
-        .when((action == "reject") & (status == PENDING), F.concat(F.lit("Rejected (Gate 1)"), signed))
+        .when(first_decision, F.concat(F.lit("Rejected (Gate 1)"), signed))
+        .when(F.col("_at") == F.col("_ended"), F.concat(F.lit("Rejected (Pre-Build)"), signed))
         .when(
-            (action == "reject") & at_build & F.col("IsAdmin"),
-            F.concat(F.lit("Rejected (Pre-Build)"), signed),
+            open_build & admin & (action == "start-build") & ~building,
+            F.concat(F.lit("Approved (Gate 1)"), signed),
         )
-        .when((action == "start-build") & at_build, F.concat(F.lit("Approved (Gate 1)"), signed))
         .when(
-            (action == "merge") & status.startswith("Implemented") & (F.col("Branch") != ""),
-            F.concat(F.lit("Merged (Gate 2)"), signed),
-        )
-        .when(
-            (action == "rollback") & status.startswith("Merged") & (F.col("MergeCommit") != ""),
-            F.concat(F.lit("Rolled back (Gate 2)"), signed),
-        )
-        .when(
-            (action == "build-failed") & status.startswith("Approved"),
+            open_build & (action == "build-failed") & building,
             F.concat(
                 F.lit(f"{PENDING_BUILD} -- previous attempt failed ("),
                 F.coalesce("Detail", F.lit("see logs")),
                 F.lit("), retry below"),
             ),
         )
+        .when(F.col("_at") == F.col("_merged"), F.concat(F.lit("Merged (Gate 2)"), signed))
+        .when(F.col("_at") == F.col("_undone"), F.concat(F.lit("Rolled back (Gate 2)"), signed))
     )
-    return requests.join(events, "CRNumber", "left").withColumn("_next", next_status)
+    decided = turned.join(ends, "CRNumber").withColumn("_new", new)
+    met = latest_before(decided, ["CRNumber"], order, slices, F.col("_new"), "_last")
+    return met.withColumn("_old", F.coalesce("_last", "_status"))
 
 
 def transition_requests(requests: DataFrame, events: DataFrame) -> DataFrame:
-    """Snapshot after a batch with one decision per request; illegal ones change nothing.
+    """Snapshot after a batch of events, one row a request; illegal events change nothing.
 
-    ``events``: CRNumber, Action, Actor, IsAdmin, EventTime, Detail.
+    ``events``: CRNumber, EventId (unique in a request), EventTime, Action,
+    Actor, IsAdmin, Detail.
     """
+    applied = _folded(requests, events).where(F.col("_new").isNotNull())
+    last = applied.groupBy("CRNumber").agg(F.max_by("_new", "_at").alias("_new"))
     return (
-        _decided(requests, events)
-        .withColumn("Status", F.coalesce("_next", "Status"))
+        requests.join(last, "CRNumber", "left")
+        .withColumn("Status", F.coalesce("_new", "Status"))
         .select(*requests.columns)
     )
 
 
 def transition_rejects(requests: DataFrame, events: DataFrame) -> DataFrame:
-    refused = _decided(requests, events).where(F.col("Action").isNotNull() & F.col("_next").isNull())
+    """Every event that was refused, with the status that refused it."""
+    refused = _folded(requests, events).where(F.col("_new").isNull())
+    unknown = events.join(requests.select("CRNumber"), "CRNumber", "left_anti")
     return refused.select(
-        "CRNumber", "Action", join_text("not allowed from '", F.col("Status"), "'").alias("Reason")
-    )
-
-
-def first_decision(events: DataFrame) -> DataFrame:
-    """Earliest event per request, so a batch carries one decision each."""
-    rest = [c for c in events.columns if c != "CRNumber"]
-    return (
-        events.groupBy("CRNumber")
-        .agg(F.min_by(F.struct(*rest), F.struct("EventTime", *[c for c in rest if c != "EventTime"])).alias("_e"))
-        .select("CRNumber", "_e.*")
-    )
+        "CRNumber", "EventId", "Action", join_text("not allowed from '", F.col("_old"), "'").alias("Reason")
+    ).unionAll(unknown.select("CRNumber", "EventId", "Action", F.lit("unknown request").alias("Reason")))
 
 
 def progress_fold(events: DataFrame) -> DataFrame:
@@ -256,47 +288,53 @@ def extract_json_block(replies: DataFrame, column: str = "Text") -> DataFrame:
     )
 
 
+#: Kinds of JSON values as the messages name them.  Fixed values.
+VALUE_KINDS = {"string": "str", "array": "list", "object": "dict", "boolean": "bool", "null": "NoneType"}
+
+
+def _value_kind(document: Column, key: str) -> Column:
+    raw = F.schema_of_variant(F.variant_get(document, f"$.{key}", "variant"))
+    lowered = F.lower(F.coalesce(raw, F.lit("void")))
+    return (
+        F.when(lowered.startswith("array"), VALUE_KINDS["array"])
+        .when(lowered.startswith("object"), VALUE_KINDS["object"])
+        .when(lowered == "string", VALUE_KINDS["string"])
+        .when(lowered == "boolean", VALUE_KINDS["boolean"])
+        .when((lowered == "bigint") | lowered.rlike(r"^decimal\([0-9]+,0\)$"), "int")
+        .when(lowered == "void", VALUE_KINDS["null"])
+        .otherwise("float")
+    )
+
+
 def validate_record(replies: DataFrame, column: str = "JsonText") -> DataFrame:
-    """Adds ``Problems``, the list of schema problems of a JSON record text."""
-    fields = F.from_json(column, "map<string,string>")
-    keys = F.map_keys(fields)
-    # Strings and containers lose their kind as map values, so kinds are read
-    # from the text through the variant parser.
-    kinds = {
-        "string": "str",
-        "array": "list",
-        "object": "dict",
-        "boolean": "bool",
-        "null": "NoneType",
-    }
+    """Adds ``Problems``, the list of schema problems of a JSON record text.
+
+    Strings and containers lose their kind as map values, so kinds are read
+    from the text through the variant parser.  The text is parsed once for the
+    map and once for the variant; kinds are columns before messages use them.
+    """
+    parsed = replies.withColumn("_fields", F.from_json(column, "map<string,string>")).withColumn(
+        "_document", F.try_parse_json(column)
+    )
+    wanted_keys = dict.fromkeys([*REQUIRED_KEYS, "tier", "estimated_tokens"])
+    kinds = F.struct(*[_value_kind(F.col("_document"), key).alias(key) for key in wanted_keys])
+    known = parsed.withColumn("_kinds", kinds).withColumn("_keys", F.map_keys("_fields"))
 
     def kind(key: str) -> Column:
-        raw = F.schema_of_variant(F.variant_get(F.try_parse_json(column), f"$.{key}", "variant"))
-        lowered = F.lower(F.coalesce(raw, F.lit("void")))
-        name = (
-            F.when(lowered.startswith("array"), kinds["array"])
-            .when(lowered.startswith("object"), kinds["object"])
-            .when(lowered == "string", kinds["string"])
-            .when(lowered == "boolean", kinds["boolean"])
-            .when((lowered == "bigint") | lowered.rlike(r"^decimal\([0-9]+,0\)$"), "int")
-            .when(lowered == "void", kinds["null"])
-            .otherwise("float")
-        )
-        return name
+        return F.col(f"_kinds.{key}")
 
     problems = []
     for key, wanted in REQUIRED_KEYS.items():
-        present = F.array_contains(keys, key)
         accepted = ("int", "bool") if wanted == "int" else (wanted,)
         problems.append(
-            F.when(~present, f"missing key: {key}").when(
+            F.when(~F.array_contains("_keys", key), f"missing key: {key}").when(
                 ~kind(key).isin(*accepted), F.concat(F.lit(f"{key}: expected {wanted}, got "), kind(key))
             )
         )
-    tier = F.try_element_at(fields, F.lit("tier"))
+    tier = F.try_element_at("_fields", F.lit("tier"))
     problems.append(
         F.when(
-            F.array_contains(keys, "tier") & ~F.coalesce(tier.isin("A", "B", "C"), F.lit(False)),
+            F.array_contains("_keys", "tier") & ~F.coalesce(tier.isin("A", "B", "C"), F.lit(False)),
             F.concat(
                 F.lit("tier: expected one of A/B/C, got "),
                 F.when(kind("tier") == "str", F.concat(F.lit("'"), tier, F.lit("'"))).otherwise(
@@ -305,7 +343,7 @@ def validate_record(replies: DataFrame, column: str = "JsonText") -> DataFrame:
             ),
         )
     )
-    tokens = F.try_element_at(fields, F.lit("estimated_tokens"))
+    tokens = F.try_element_at("_fields", F.lit("estimated_tokens"))
     number = F.when(tokens == "false", 0).otherwise(tokens.try_cast("decimal(38,0)"))
     problems.append(
         F.when(
@@ -313,7 +351,8 @@ def validate_record(replies: DataFrame, column: str = "JsonText") -> DataFrame:
             "estimated_tokens: expected a realistic non-zero estimate, got <= 0",
         )
     )
-    return replies.withColumn("Problems", F.filter(F.array(*problems), lambda p: p.isNotNull()))
+    found = F.filter(F.array(*problems), lambda p: p.isNotNull())
+    return known.withColumn("Problems", found).drop("_fields", "_document", "_kinds", "_keys")
 
 
 def transcript_pairs(turns: DataFrame) -> DataFrame:

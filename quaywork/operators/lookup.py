@@ -6,7 +6,6 @@ asks for are then joined for all questions at once.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,7 +19,7 @@ from quaywork.functions.columns import (
     strip,
     timestamp_text,
 )
-from quaywork.functions.skew import bounded_pieces, previous
+from quaywork.functions.skew import previous
 
 # The question patterns.  (?U) makes word boundaries Unicode-aware.
 PO_PATTERN = (
@@ -223,34 +222,62 @@ def failed_files(files: DataFrame, customer: str | None = None, n: int = 20) ->
     )
 
 
-def explain_error(
-    errors: DataFrame, kb: DataFrame, column: str = "ErrorMessage", limit: int | None = None
-) -> DataFrame:
+#: Parts of a LIKE pattern: a class, a wildcard, literal text.  Fixed value.
+LIKE_PARTS = r"\[\^?[^\]]+\]|[%_]|[^%_\[]+|\["
+GRAM = 3
+
+
+def like_regex(pattern: Column) -> Column:
+    """The regular expression of a LIKE pattern with ``%``, ``_`` and ``[...]``; all else is literal."""
+
+    def part(p: Column) -> Column:
+        inside = F.regexp_replace(F.substring(p, F.lit(2), F.length(p) - 2), r"([\\\[&])", r"\\$1")
+        literal = F.concat(F.lit(r"\Q"), F.replace(p, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+        return (
+            F.when(p == "%", ".*")
+            .when(p == "_", ".")
+            .when(p.startswith("[") & (F.length(p) > 1), F.concat(F.lit("["), inside, F.lit("]")))
+            .otherwise(literal)
+        )
+
+    parts = F.regexp_extract_all(pattern, F.lit(LIKE_PARTS), F.lit(0))
+    return F.concat(F.lit("(?is)"), F.array_join(F.transform(parts, part), ""))
+
+
+def _rare_gram(pattern: Column) -> Column:
+    """The first letters of the longest literal part; empty if no part is long enough."""
+    parts = F.regexp_extract_all(F.lower(pattern), F.lit(LIKE_PARTS), F.lit(0))
+    literal = F.filter(parts, lambda p: (F.length(p) >= GRAM) & ~p.startswith("["))
+    longest = F.array_max(F.transform(literal, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))
+    return F.coalesce(F.substring(longest["p"], 1, GRAM), F.lit(""))
+
+
+def explain_error(errors: DataFrame, kb: DataFrame, column: str = "ErrorMessage") -> DataFrame:
     """Adds ``Note``: explanation and remediation of the first matching pattern.
 
-    Patterns are substrings with live LIKE wildcards.  Each distinct message is
-    matched once, against knowledge-base pieces of a counted size.
+    Patterns are substrings with live LIKE wildcards and classes, in any case; a
+    backslash is a backslash.  Each distinct message is matched once.  A message
+    meets the patterns whose longest literal part begins with three letters it
+    contains, by an equi-join; patterns without such a part meet every message.
     """
     messages = (
         errors.where(F.col(column).isNotNull() & (F.col(column) != "")).select(column).distinct()
     )
-    entry = kb.select(
+    entry = kb.where(F.col("ErrorPattern").isNotNull()).select(
         "ErrorKnowledgeBaseId",
-        F.concat(F.lit("%"), "ErrorPattern", F.lit("%")).alias("_like"),
+        _rare_gram(F.col("ErrorPattern")).alias("_gram"),
+        like_regex(F.col("ErrorPattern")).alias("_regex"),
         F.concat_ws(" ", "Explanation", F.nullif("RemediationStep", F.lit(""))).alias("Note"),
     )
-    pieces = bounded_pieces(entry, "ErrorKnowledgeBaseId", *([limit] if limit else []))
-    matches = [
-        messages.join(F.broadcast(piece), F.expr(f"`{column}` ILIKE _like"))
-        .groupBy(column)
-        .agg(F.min_by(F.struct("ErrorKnowledgeBaseId", "Note"), "ErrorKnowledgeBaseId").alias("_hit"))
-        for piece in pieces
-    ]
+    lowered = F.lower(F.col(column))
+    places = F.sequence(F.lit(1), F.greatest(F.length(lowered) - GRAM + 1, F.lit(1)))
+    grams = F.array_distinct(F.transform(places, lambda i: F.substring(lowered, i, F.lit(GRAM))))
+    asked = messages.select(column, F.explode(F.array_union(grams, F.array(F.lit("")))).alias("_gram"))
     notes = (
-        reduce(DataFrame.unionByName, matches)
+        asked.join(entry, "_gram")
+        .where(F.rlike(F.col(column), F.col("_regex")))
         .groupBy(column)
-        .agg(F.min_by("_hit", "_hit.ErrorKnowledgeBaseId").alias("_hit"))
-        .select(column, F.col("_hit.Note").alias("Note"))
+        .agg(F.min_by("Note", "ErrorKnowledgeBaseId").alias("Note"))
     )
     return errors.join(notes, column, "left").select(*errors.columns, "Note")
 

@@ -80,6 +80,7 @@ def run_batch(
     this_run = tables["headers"].select(F.col("HeaderId").alias("SourceHeaderId"))
     staged_now = orders.join(this_run, "SourceHeaderId", "left_semi")
     house.write(staging.stage_lines(tables["details"], staged_now, as_of=as_of), "lines", run)
+    house.write(staging.line_rejects(tables["details"], staged_now), "line_rejects", run)
 
     outcome = parsed.select("RawId", "Problem")
     # Only this run's files change state, so the earlier ones need no join.

@@ -139,8 +139,7 @@ class Domain:
             )
         ]
         lines = self.table("lineitem").where("cast(floor(l_orderkey / 4) as bigint) % 10 > 1")
-        coarse = F.col("l_linenumber") * 1_000_000 + F.floor(F.col("l_partkey") / 1024)
-        ranked = numbered(lines, ["l_orderkey"], order, coarse, "line")
+        ranked = numbered(lines, ["l_orderkey"], order, F.col("l_linenumber"), "line")
         return ranked.select(
             F.col("l_orderkey").alias("HeaderId"),
             (F.col("l_orderkey") * 1_048_576 + F.col("line")).alias("DetailId"),
@@ -392,7 +391,7 @@ class Domain:
     def change_requests(self) -> DataFrame:
         """Documents as change requests in every state of their life."""
         return self.table("documents").select(
-            (F.col("doc_id") + 1).cast("int").alias("CRNumber"),
+            (F.col("doc_id") + 1).alias("CRNumber"),
             F.expr("concat('Request ', doc_id) AS Title"),
             F.expr("substring('ABC', cast(doc_id % 3 as int) + 1, 1) AS Tier"),
             F.expr(
@@ -413,7 +412,7 @@ class Domain:
             ),
             F.expr("CASE WHEN doc_id % 9 IN (4, 5) AND doc_id % 5 <> 0 THEN concat('cr-', doc_id) END AS Branch"),
             F.expr("CASE WHEN doc_id % 9 = 5 AND doc_id % 7 <> 0 THEN concat('c', doc_id) END AS MergeCommit"),
-            F.col("n_chars").cast("int").alias("EstimatedTokens"),
+            F.col("n_chars").alias("EstimatedTokens"),
         )
 
     @cached_property
@@ -435,8 +434,8 @@ class Domain:
     def customer_orders(self) -> DataFrame:
         """The order mart before an upsert: two in three orders."""
         return self.table("orders").where("o_orderkey % 3 <> 0").select(
-            F.col("o_orderkey").cast("int").alias("OrderID"),
-            F.col("o_custkey").cast("int").alias("CustomerID"),
+            F.col("o_orderkey").cast("bigint").alias("OrderID"),
+            F.col("o_custkey").cast("bigint").alias("CustomerID"),
             F.col("o_orderdate").cast("date").alias("OrderDate"),
             F.col("o_totalprice").cast("decimal(10,2)").alias("OrderAmount"),
             F.col("o_orderstatus").alias("Status"),
@@ -462,8 +461,8 @@ class Domain:
             .where("o_orderkey % 2 = 0")
             .withColumn("v", version)
             .select(
-                F.col("o_orderkey").cast("int").alias("OrderID"),
-                F.col("o_custkey").cast("int").alias("CustomerID"),
+                F.col("o_orderkey").cast("bigint").alias("OrderID"),
+                F.col("o_custkey").cast("bigint").alias("CustomerID"),
                 F.col("o_orderdate").cast("date").alias("OrderDate"),
                 F.expr("cast(cast(o_totalprice as decimal(10,2)) + v + 1 as decimal(10,2)) AS OrderAmount"),
                 F.lit("U").alias("Status"),

@@ -305,8 +305,9 @@ def status_badge(d):
 def _decisions(d):
     actions = F.array(*[F.lit(a) for a in ("approve", "reject", "start-build", "merge", "rollback", "build-failed")])
     return d.table("documents").where("doc_id % 2 = 0").select(
-        (F.col("doc_id") + 1).cast("int").alias("CRNumber"),
+        (F.col("doc_id") + 1).alias("CRNumber"),
         F.get(actions, (F.col("doc_id") % 6).cast("int")).alias("Action"),
+        F.col("doc_id").alias("EventId"),
         F.lit("bob").alias("Actor"),
         (F.col("doc_id") % 4 == 0).alias("IsAdmin"),
         F.lit("2026-08-01 09:30:00").cast("timestamp_ntz").alias("EventTime"),
@@ -318,9 +319,9 @@ _DECIDED = """decided AS (SELECT *, CASE
     WHEN action = 'approve' AND doc_id % 9 = 0 THEN 'Pending Build Approval -- Gate 1 approved by bob on 2026-08-01 09:30 UTC'
     WHEN action = 'reject' AND doc_id % 9 = 0 THEN 'Rejected (Gate 1) by bob on 2026-08-01 09:30 UTC'
     WHEN action = 'reject' AND doc_id % 9 IN (1, 2) AND doc_id % 4 = 0 THEN 'Rejected (Pre-Build) by bob on 2026-08-01 09:30 UTC'
-    WHEN action = 'start-build' AND doc_id % 9 IN (1, 2) THEN 'Approved (Gate 1) by bob on 2026-08-01 09:30 UTC'
-    WHEN action = 'merge' AND doc_id % 9 = 4 AND Branch IS NOT NULL THEN 'Merged (Gate 2) by bob on 2026-08-01 09:30 UTC'
-    WHEN action = 'rollback' AND doc_id % 9 = 5 AND MergeCommit IS NOT NULL THEN 'Rolled back (Gate 2) by bob on 2026-08-01 09:30 UTC'
+    WHEN action = 'start-build' AND doc_id % 9 IN (1, 2) AND doc_id % 4 = 0 THEN 'Approved (Gate 1) by bob on 2026-08-01 09:30 UTC'
+    WHEN action = 'merge' AND doc_id % 9 = 4 AND doc_id % 4 = 0 AND Branch IS NOT NULL THEN 'Merged (Gate 2) by bob on 2026-08-01 09:30 UTC'
+    WHEN action = 'rollback' AND doc_id % 9 = 5 AND doc_id % 4 = 0 AND MergeCommit IS NOT NULL THEN 'Rolled back (Gate 2) by bob on 2026-08-01 09:30 UTC'
     WHEN action = 'build-failed' AND doc_id % 9 = 3 THEN 'Pending Build Approval -- previous attempt failed (see logs), retry below' END AS next
     FROM (SELECT *, CASE WHEN doc_id % 2 = 0 THEN (['approve', 'reject', 'start-build', 'merge', 'rollback', 'build-failed'])[CAST(doc_id % 6 AS INTEGER) + 1] END AS action FROM crs))"""
 
@@ -333,12 +334,61 @@ def transition_cr(d):
 @query(
     "h6_transition_rejects",
     "crs",
-    f"WITH {_DECIDED} SELECT CRNumber, action AS Action, concat('not allowed from ''', Status, '''') AS Reason FROM decided WHERE action IS NOT NULL AND next IS NULL",
+    f"WITH {_DECIDED} SELECT CRNumber, doc_id AS EventId, action AS Action, concat('not allowed from ''', Status, '''') AS Reason FROM decided WHERE action IS NOT NULL AND next IS NULL",
 )
 def transition_rejects(d):
     return H.transition_rejects(d.change_requests, _decisions(d))
 
 
+def _histories(d):
+    """Six events for every request, two of them at the same time."""
+    actions = F.array(*[F.lit(a) for a in ("approve", "reject", "start-build", "merge", "rollback", "build-failed")])
+    events = d.table("documents").select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("k"))
+    place = F.expr("cast((doc_id * 7 + k * (2 + doc_id div 9 % 5) + doc_id div 54) % 6 as int)")
+    return events.select(
+        (F.col("doc_id") + 1).alias("CRNumber"),
+        F.col("k").cast("bigint").alias("EventId"),
+        F.get(actions, place).alias("Action"),
+        F.lit("eve").alias("Actor"),
+        ((F.col("doc_id") + F.col("k")) % 3 != 0).alias("IsAdmin"),
+        F.expr("timestamp_ntz'2026-08-01 09:30:00' + least(k, 5) * interval '1' minute AS EventTime"),
+        F.lit("x").alias("Detail"),
+    )
+
+
+#: One event after another, as the life cycle is told.
+_FOLD = """events AS (SELECT doc_id, CAST(k AS INTEGER) AS k, (['approve', 'reject', 'start-build', 'merge', 'rollback', 'build-failed'])
+        [CAST((doc_id * 7 + k * (2 + doc_id // 9 % 5) + doc_id // 54) % 6 AS INTEGER) + 1] AS action, (doc_id + k) % 3 <> 0 AS admin,
+        concat(' by eve on 2026-08-01 09:', 30 + least(k, 5), ' UTC') AS signed FROM documents, range(1, 7) r(k)),
+    fold AS (SELECT doc_id, CRNumber, Branch, MergeCommit, 0 AS k, '' AS action, Status AS met, NULL::VARCHAR AS next, Status FROM crs
+      UNION ALL SELECT doc_id, CRNumber, Branch, MergeCommit, k, action, met, next, coalesce(next, met) FROM (
+        SELECT f.doc_id, CRNumber, Branch, MergeCommit, e.k, e.action, f.Status AS met, CASE
+          WHEN e.action = 'approve' AND f.Status = 'Pending Gate 1 review' THEN 'Pending Build Approval -- Gate 1 approved' || signed
+          WHEN e.action = 'reject' AND f.Status = 'Pending Gate 1 review' THEN 'Rejected (Gate 1)' || signed
+          WHEN e.action = 'reject' AND f.Status LIKE 'Pending Build Approval%' AND admin THEN 'Rejected (Pre-Build)' || signed
+          WHEN e.action = 'start-build' AND f.Status LIKE 'Pending Build Approval%' AND admin THEN 'Approved (Gate 1)' || signed
+          WHEN e.action = 'build-failed' AND f.Status LIKE 'Approved%' THEN 'Pending Build Approval -- previous attempt failed (x), retry below'
+          WHEN e.action = 'merge' AND f.Status LIKE 'Implemented%' AND admin AND Branch IS NOT NULL THEN 'Merged (Gate 2)' || signed
+          WHEN e.action = 'rollback' AND f.Status LIKE 'Merged%' AND admin AND MergeCommit IS NOT NULL THEN 'Rolled back (Gate 2)' || signed
+          END AS next FROM fold f JOIN events e ON e.doc_id = f.doc_id AND e.k = f.k + 1))"""
+
+
+@query("h6_history", "crs", "RECURSIVE WITH " + _FOLD + " SELECT CRNumber, Status FROM fold WHERE k = 6")
+def request_history(d):
+    return H.transition_requests(d.change_requests, _histories(d)).select("CRNumber", "Status")
+
+
+@query(
+    "h6_history_rejects",
+    "crs",
+    "RECURSIVE WITH " + _FOLD
+    + " SELECT CRNumber, CAST(k AS BIGINT) AS EventId, action AS Action, concat('not allowed from ''', met, '''') AS Reason"
+    " FROM fold WHERE k > 0 AND next IS NULL",
+)
+def request_history_rejects(d):
+    return H.transition_rejects(d.change_requests, _histories(d))
+
+
 @query(
     "h7_progress_fold",
     "progress",
@@ -364,7 +414,7 @@ def _replies(d):
     return d.table("documents").select(
         "doc_id",
         F.expr(
-            """concat(substring(text, 1, 60), CASE doc_id % 6
+            """concat(text, CASE doc_id % 6
                WHEN 0 THEN concat('\n```json\n{"title": "t', doc_id, '", "tier": "A", "risk_notes": "", "requirements": ["x"], "touch_points": [], "out_of_scope": [], "estimated_tokens": ', n_chars, '}\n```\nend')
                WHEN 1 THEN '\n```json {"title": "only", "tier": "D", "estimated_tokens": 0} ```'
                WHEN 2 THEN '\n```json {"title": 5, "tier": "B", "risk_notes": [], "requirements": "x", "touch_points": {}, "out_of_scope": null, "estimated_tokens": "9"} ```'

@@ -42,11 +42,11 @@ _DDL = {
         LoadStatus string, RowsCopied int, RowsAffected int, ErrorCode string,
         ErrorMessage string, LoadStartTime timestamp_ntz, LoadEndTime timestamp_ntz,
         LoadDurationSeconds int, CreatedDate timestamp_ntz""",
-    "customer_orders": """OrderID int, CustomerID int, OrderDate date, OrderAmount decimal(10,2),
+    "customer_orders": """OrderID bigint, CustomerID bigint, OrderDate date, OrderAmount decimal(10,2),
         Status string, CreatedDate timestamp_ntz, ModifiedDate timestamp_ntz,
         UnitPrice decimal(10,4), ShipToState string, CustomerName string, sku string,
         quantity int""",
-    "customer_orders_staging": """OrderID int, CustomerID int, OrderDate date,
+    "customer_orders_staging": """OrderID bigint, CustomerID bigint, OrderDate date,
         OrderAmount decimal(10,2), Status string, UnitPrice decimal(10,4), ShipToState string,
         CustomerName string, sku string, quantity int, LoadBatchID int""",
     "aliases": "AliasId bigint, Alias string, CustomerCode string",

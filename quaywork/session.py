@@ -33,10 +33,11 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a
-    temporary folder.
+    Only a local session without that setting (a test) gets a temporary folder;
+    on a cluster its absence is an error, since a folder of one machine is not
+    seen by the others.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -44,6 +45,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quaywork-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -39,8 +39,8 @@ def test_listing_and_badges(spark):
 
 def test_transitions(spark):
     legal = {1: "approve", 2: "start-build", 3: "reject", 4: "build-failed", 5: "merge", 6: "rollback", 7: "merge", 9: "approve"}
-    rows = [(i, a, "bob", True, NOW, None) for i, a in legal.items()]
-    events = spark.createDataFrame(rows, "CRNumber int, Action string, Actor string, IsAdmin boolean, EventTime timestamp_ntz, Detail string")
+    rows = [(i, 1, a, "bob", True, NOW, None) for i, a in legal.items()]
+    events = spark.createDataFrame(rows, "CRNumber int, EventId int, Action string, Actor string, IsAdmin boolean, EventTime timestamp_ntz, Detail string")
     got = {r["CRNumber"]: r["Status"] for r in H.transition_requests(requests(spark), events).collect()}
     tail = " by bob on 2026-08-01 09:30 UTC"
     assert got[1] == "Pending Build Approval -- Gate 1 approved" + tail
@@ -49,8 +49,15 @@ def test_transitions(spark):
     assert got[5] == "Merged (Gate 2)" + tail and got[6] == "Rolled back (Gate 2)" + tail
     assert got[7] == STATUSES[7] and got[8] == "Closed"
     assert sorted(r["CRNumber"] for r in H.transition_rejects(requests(spark), events).collect()) == [7, 9]
-    later = events.withColumn("EventTime", F.col("EventTime") + F.expr("INTERVAL '1' HOUR")).withColumn("Action", F.lit("merge"))
-    assert {r["CRNumber"]: r["Action"] for r in H.first_decision(events.union(later)).collect()} == legal
+    for action in ("start-build", "merge", "rollback"):
+        mine = events.where(F.col("Action") == action).where("CRNumber <> 7").withColumn("IsAdmin", F.lit(False))
+        assert H.transition_rejects(requests(spark), mine).count() == 1
+    both = events.where("CRNumber = 1")
+    both = both.union(both.withColumn("EventId", F.lit(2)).withColumn("Action", F.lit("start-build")))
+    after = [r["Status"] for r in H.transition_requests(requests(spark), both).where("CRNumber = 1").collect()]
+    assert after == ["Approved (Gate 1)" + tail] and H.transition_rejects(requests(spark), both).count() == 0
+    lost = events.limit(1).withColumn("CRNumber", F.lit(99))
+    assert [r["Reason"] for r in H.transition_rejects(requests(spark), lost).collect()] == ["unknown request"]
     other = events.where("CRNumber = 3").withColumn("IsAdmin", F.lit(False))
     assert H.transition_rejects(requests(spark), other).count() == 1
 

@@ -90,9 +90,20 @@ def test_alias_and_failed_files(spark):
     assert [r["rawId"] for r in L.failed_files(files(spark), "low").collect()] == [1]
 
 
-@pytest.mark.parametrize("limit", [None, 1])
-def test_explain_and_describe(spark, limit):
-    noted = L.explain_error(files(spark), kb(spark), limit=limit)
+def test_like_patterns(spark):
+    patterns = ["C:\\temp", "line [0-9]", "[^a-c]x", "50%off", "a_b", "[", "q]", "\\E.", "[\\]d", "zz"]
+    notes = spark.createDataFrame([(i, p, str(i), "") for i, p in enumerate(patterns)], S.schema("error_kb"))
+    cases = {
+        "at c:\\TEMP\\x": 0, "Line 7": 1, "line x": 2, "ax": None, "zx": 2, "50 percent off": 3, "a-b": 4, "ab": None,
+        "open [": 5, "Q]": 6, "\\e.": 7, "\\eX": 2, "\\eb": None, "\\d": 8, "fuzzy": 9, "ZZ top": 9, "z": None,
+    }
+    rows = spark.createDataFrame([(m,) for m in cases], "ErrorMessage string")
+    got = {r["ErrorMessage"]: r["Note"] for r in L.explain_error(rows, notes).collect()}
+    assert got == {m: None if i is None else str(i) for m, i in cases.items()}
+
+
+def test_explain_and_describe(spark):
+    noted = L.explain_error(files(spark), kb(spark))
     got = {r["RawId"]: r["Narrative"] for r in L.describe_status(noted).collect()}
     assert got[1] == "File a.edi (ISA 000000005) was received at 2026-08-01 12:00:00 but failed to parse: W01 quantity bad (Bad amount. Fix it.)"
     assert got[2] == "File b.edi (ISA 5) was received and parsed successfully at 2026-08-01 12:00:00."
