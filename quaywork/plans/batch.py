@@ -51,7 +51,7 @@ def run_batch(
     as_of: datetime | None = None,
     strict: bool = False,
 ) -> Warehouse:
-    """Ingest, parse, stage and log what lies in ``inbound``."""
+    """Ingest, parse, stage and log what lies in ``inbound`` and was not received before."""
     house = Warehouse(spark, warehouse)
     first = run == 1
     old_files = spark.createDataFrame([], S.schema("files")).select(*FILE_COLUMNS)
@@ -63,7 +63,8 @@ def run_batch(
         after = old_files.agg(F.coalesce(F.max("RawId"), F.lit(0))).first()[0]
 
     received = interchange.enrich_isa(sources.ingest_files(spark, inbound, after))
-    texts = house.write(received, "texts", run)
+    fresh_files = _unseen(house, received, run)
+    texts = house.write(received.join(fresh_files.select("RawId"), "RawId", "left_semi"), "texts", run)
 
     pending = interchange.newest_unparsed(texts)
     # Texts are read and tokenised once; every table comes from the nested result.
@@ -101,6 +102,25 @@ def run_batch(
     return house
 
 
+def _unseen(house: Warehouse, received: DataFrame, run: int) -> DataFrame:
+    """(RawId, FileName, Digest) of the files whose content no earlier run received, each content once.
+
+    The list is kept as ``seen`` and the files left out as ``skipped``, so that a
+    file delivered again, under whatever name, is not processed again.  A blank
+    file is known by its name.
+    """
+    content = F.coalesce(F.nullif(F.col("RawEDIText"), F.lit("")), F.concat(F.lit("blank: "), "FileName"))
+    digests = received.select("RawId", "FileName", F.sha2(content, 256).alias("Digest"))
+    first = digests.groupBy("Digest").agg(F.min(F.struct("RawId", "FileName")).alias("f"))
+    kept = first.select("f.RawId", "f.FileName", "Digest")
+    if run > 1:
+        earlier = house.all_rows("seen").where(F.col("run") < run).select("Digest")
+        kept = kept.join(earlier, "Digest", "left_anti")
+    kept = house.write(kept, "seen", run)
+    house.write(digests.join(kept.select("RawId"), "RawId", "left_anti"), "skipped", run)
+    return kept
+
+
 def apply_responses(
     spark: SparkSession, warehouse: str, run: int, events: DataFrame
 ) -> DataFrame:

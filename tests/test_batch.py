@@ -15,6 +15,29 @@ def snapshot(df, *columns):
     return sorted(map(tuple, df.select(*columns).collect()), key=str)
 
 
+def test_overlapping_deliveries(spark, tmp_path):
+    folder = str(tmp_path / "house")
+    day1, day2 = tmp_path / "day1", tmp_path / "day2"
+    day1.mkdir()
+    day2.mkdir()
+    first = whole(ORDER.format(n=1), 1)
+    put(day1, "a.edi", first, age=90)
+    put(day1, "again.edi", first, age=80)
+    put(day2, "a.edi", first, age=70)
+    put(day2, "renamed.edi", first, age=60)
+    put(day2, "b.edi", whole(ORDER.format(n=2) + ORDER.format(n=3).replace("*VN*", "**"), 2), age=50)
+    house = run_batch(spark, str(day1), folder, 1, NOW)
+    assert snapshot(house.run_rows("skipped", 1), "FileName") == [("again.edi",)]
+    for _ in range(2):
+        house = run_batch(spark, str(day2), folder, 2, NOW + timedelta(hours=1))
+    assert snapshot(house.run_rows("skipped", 2), "FileName") == [("a.edi",), ("renamed.edi",)]
+    orders = [r["WarehouseOrderNumber"] for r in house.run_rows("orders", 2).collect()]
+    assert sorted(orders) == sorted(set(orders)) and "ORDER1" in orders and "ORDER2" in orders
+    assert snapshot(house.run_rows("files", 2), "FileName") == [("a.edi",), ("b.edi",)]
+    lines, rejects = house.run_rows("lines", 2).count(), house.run_rows("line_rejects", 2).count()
+    assert lines + rejects == house.run_rows("details", 2).count()
+
+
 def test_three_runs(spark, tmp_path):
     folder = str(tmp_path / "house")
     day1, day2 = tmp_path / "day1", tmp_path / "day2"
