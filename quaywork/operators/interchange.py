@@ -28,7 +28,8 @@ from quaywork.functions.columns import (
     safe_decimal,
     safe_int,
 )
-from quaywork.functions.skew import BROADCAST_ROWS, join_checked
+from quaywork.functions.skew import join_checked, numbered
+from quaywork.session import scratch_path
 
 LINES_PER_TRANSACTION = 9_999
 TRANSACTIONS_PER_FILE = 100
@@ -515,28 +516,52 @@ def envelope_check(files: DataFrame) -> DataFrame:
     return facts.join(repeated, "_isa13", "left").select("RawId", "FileName", reason.alias("Reason"))
 
 
-def _dealt(lines: DataFrame, max_lines: int) -> DataFrame:
-    """Lines of large orders, each dealt to one of the order's sets.
+def _cut(lines: DataFrame, max_lines: int) -> DataFrame:
+    """Lines of large orders with ``_set``, the run of ``max_lines`` they fall in by SortKey.
 
-    Equal lines are counted first and dealt out in blocks.  The dealing depends
-    on content only, so a retried task repeats it.
+    Lines are dealt out by ranges of order and SortKey, so the number of a
+    range never decreases along an order, and an order is numbered range by
+    range.  They are written once, since both steps of the numbering must see
+    the same ranges.
     """
-    block = F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(max_lines)))
+    spark = lines.sparkSession
+    path = scratch_path(spark, "large-orders")
+    dealt = lines.repartitionByRange("OrderId", "SortKey", "_w01").withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    kept = spark.read.schema(dealt.schema).parquet(path)
+    placed = numbered(kept, ["OrderId"], [F.col("SortKey"), F.col("_w01")], F.col("_range"), "_place")
+    return placed.withColumn("_set", F.floor((F.col("_place") - 1) / F.lit(max_lines))).drop("_range", "_place")
+
+
+def _file_parts(orders: DataFrame, oversized: DataFrame, max_transactions: int) -> DataFrame:
+    """(OrderId, _set, _file, _control) for the sets of those RawIds that outgrow one file.
+
+    The sets of a RawId are counted over all its orders.  Every file after the
+    first gets a control number of its own, after the highest given one.
+    """
+    sets = F.coalesce("_sets", F.lit(1))
+    counted = orders.select("RawId", "OrderId").join(oversized, "OrderId", "left").withColumn("_sets", sets)
+    crowded = (
+        counted.groupBy("RawId").agg(F.sum("_sets").alias("_all")).where(F.col("_all") > max_transactions)
     )
-    left_over = F.col("_n") - F.col("_block") * max_lines
-    return (
-        lines.groupBy("OrderId", "_sets", "SortKey", "_w01")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_block", block)
-        .select(
-            "OrderId",
-            "SortKey",
-            "_w01",
-            F.pmod(F.xxhash64("SortKey", "_w01", "_block"), F.col("_sets")).alias("_set"),
-            F.least(F.lit(max_lines), left_over).cast("int").alias("_copies"),
-        )
+    each = counted.join(crowded.select("RawId"), "RawId", "left_semi").select(
+        "RawId", "OrderId", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_sets") - 1)).alias("_set")
     )
+    order = [F.col("OrderId"), F.col("_set")]
+    placed = numbered(each, ["RawId"], order, F.floor(F.col("OrderId") / 1024), "_place").withColumn(
+        "_file", F.floor((F.col("_place") - 1) / F.lit(max_transactions))
+    )
+    further = placed.where("_file > 0").select("RawId", "_file").distinct().withColumn("_one", F.lit(1))
+    ranked = numbered(
+        further, ["_one"], [F.col("RawId"), F.col("_file")], F.floor(F.col("RawId") / 1024), "_rank"
+    )
+    top = orders.agg(F.max(F.col("ControlNumber").cast("bigint")).alias("top")).scalar()
+    number = top + F.col("_rank")
+    control = F.when(number <= 999_999_999, F.lpad(number.cast("string"), 9, "0")).otherwise(
+        F.raise_error(F.lit("control numbers are used up"))
+    )
+    own = ranked.select("RawId", "_file", control.alias("_control"))
+    return placed.join(own, ["RawId", "_file"], "left").select("OrderId", "_set", "_file", "_control")
 
 
 def render_940(
@@ -552,10 +577,14 @@ def render_940(
     (a struct), Quantity, UOM, Qualifier, Sku (texts).
 
     The standard allows 9,999 line loops per transaction set; a larger order
-    continues in further sets with the same order number, and an order that
-    outgrows ``max_transactions`` sets continues in the next ``FilePart``.  So
-    the lines gathered into one text are bounded and every line is written.
+    continues in further sets with the same order number, its lines in SortKey
+    order throughout.  A file holds ``max_transactions`` sets, counted over all
+    orders of its RawId; the rest continue in the next ``FilePart``, under a
+    control number of its own.  So the lines and sets gathered into one text are
+    bounded and every line is written.
     """
+    if not 0 < max_transactions <= 9_999:
+        raise ValueError("set control numbers have four digits")
     segment = F.concat_ws("*", F.lit("W01"), "Quantity", "UOM", "Qualifier", "Sku")
     written = lines.select("OrderId", "SortKey", segment.alias("_w01"))
     oversized = (
@@ -564,30 +593,23 @@ def render_940(
         .where(F.col("_n") > max_lines)
         .select("OrderId", F.ceil(F.col("_n") / F.lit(max_lines)).alias("_sets"))
     )
-    big = oversized.limit(BROADCAST_ROWS + 1).count()
+    big = not oversized.isEmpty()
     keys = ["OrderId"]
-    usual = written.withColumns({"_set": F.lit(0).cast("bigint"), "_copies": F.lit(1)})
+    usual = written.withColumn("_set", F.lit(0).cast("bigint"))
     if big:
         keys = ["OrderId", "_set"]
-        oversized = F.broadcast(oversized) if big <= BROADCAST_ROWS else oversized
         usual = usual.join(oversized, "OrderId", "left_anti").unionByName(
-            _dealt(written.join(oversized, "OrderId"), max_lines)
+            _cut(written.join(oversized, "OrderId", "left_semi"), max_lines)
         )
     sets = (
         # Collecting shrinks nothing, so rows are moved first and gathered after.
         usual.repartition(*keys)
         .groupBy(*keys)
         .agg(
-            F.sort_array(F.collect_list(F.struct("SortKey", "_w01", "_copies"))).alias("_lines"),
+            F.sort_array(F.collect_list(F.struct("SortKey", "_w01"))).alias("_sorted"),
             *([] if big else [F.lit(0).cast("bigint").alias("_set")]),
         )
-        .select(
-            "OrderId",
-            "_set",
-            F.flatten(
-                F.transform("_lines", lambda x: F.array_repeat(x["_w01"], x["_copies"]))
-            ).alias("_lines"),
-        )
+        .withColumn("_lines", F.transform("_sorted", lambda x: x["_w01"]))
         .select(
             "OrderId",
             "_set",
@@ -598,7 +620,6 @@ def render_940(
     bodies = (
         orders.join(sets, "OrderId", "left")
         .withColumn("_set", F.coalesce("_set", F.lit(0)))
-        .withColumn("_file", F.floor(F.col("_set") / F.lit(max_transactions)))
         .withColumn("_count", F.coalesce("_count", F.lit(0)))
         .withColumn(
             "_head",
@@ -610,6 +631,14 @@ def render_940(
             ),
         )
     )
+    most = orders.groupBy("RawId").count().agg(F.max("count")).first()[0] or 0
+    if big or most > max_transactions:
+        bodies = bodies.join(_file_parts(orders, oversized, max_transactions), ["OrderId", "_set"], "left")
+    else:
+        bodies = bodies.withColumn("_file", F.lit(0).cast("bigint")).withColumn("_control", F.lit(None).cast("string"))
+    bodies = bodies.withColumn("_file", F.coalesce("_file", F.lit(0))).withColumn(
+        "ControlNumber", F.coalesce("_control", "ControlNumber")
+    )
     grouped = bodies.repartition("RawId", "_file").groupBy("RawId", "_file").agg(
         F.sort_array(
             F.collect_list(F.struct("OrderId", "_set", "_head", F.col("_count").alias("n")))

@@ -254,8 +254,8 @@ class Domain:
             F.lit("VN").alias("Qualifier"),
             F.expr("concat('P', l_partkey) AS Sku"),
         )
-        # An order stays one set up to a million lines, some 50 MB of text.
-        rendered = interchange.render_940(shaped, lines, max_lines=1_000_000, max_transactions=1)
+        # An order stays one set up to a million lines, some 50 MB of text, and its file one file.
+        rendered = interchange.render_940(shaped, lines, max_lines=1_000_000, max_transactions=9_999)
         # Continuation files get the ids after the highest first one.
         groups = self._parsed_orders.agg((F.max("RawId") + 1).alias("groups")).scalar()
         return rendered.select(

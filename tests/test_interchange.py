@@ -212,4 +212,37 @@ def test_render_splits_large_orders_without_loss(spark):
     assert sorted(got["BIG"]) == sorted([f"P{i}" for i in range(60)] + ["COPY"] * 45)
     assert got["SMALL"] == ["Q"] * 3 and "EMPTY" not in got
     reasons = {r["Reason"] for r in I.envelope_check(files(spark, *[t["RawEDIText"] for t in texts])).collect()}
-    assert reasons <= {None, S.ENVELOPE_REASONS["duplicate"]}
+    assert reasons == {None}
+
+
+@pytest.mark.parametrize(("lines_of", "sets"), [({1: 1000, 2: 10, 3: 11, 4: 0}, 104), ({i: 1 for i in range(250)}, 250)])
+def test_rendering_cuts_in_order(spark, lines_of, sets):
+    """Sets are full runs of ten lines in order, files hold seven sets, all control numbers differ."""
+    orders = spark.createDataFrame(
+        [(5, i, "S", "R", "000000007", "20260801", f"O{i}", "20260802", "N", "I") for i in lines_of],
+        "RawId bigint, OrderId bigint, Sender string, Receiver string, ControlNumber string, DateText string, "
+        "OrderNumber string, ShipDate string, ShipToName string, ShipToId string",
+    )
+    rows = [(i, (k,), "1", "EA", "VN", f"{i}-{k}") for i, n in lines_of.items() for k in range(n)]
+    lines = spark.createDataFrame(
+        rows, "OrderId bigint, SortKey struct<k:int>, Quantity string, UOM string, Qualifier string, Sku string"
+    )
+    texts = {r["FilePart"]: r["RawEDIText"] for r in I.render_940(orders, lines, max_lines=10, max_transactions=7).collect()}
+    assert sorted(texts) == list(range(-(-sets // 7)))
+    controls = [next(s.split("*")[13] for s in t.split("~") if s.startswith("ISA")) for t in texts.values()]
+    assert len(set(controls)) == len(controls) and "000000007" in controls
+    found, count = [], 0
+    for part in sorted(texts):
+        held = []
+        for segment in texts[part].split("~"):
+            if segment.startswith("ST*"):
+                held.append(0)
+            if segment.startswith("W01"):
+                held[-1] += 1
+                found.append(segment.split("*")[4])
+        assert len(held) == 7 or part == max(texts)
+        assert max(held) <= 10
+        count += len(held)
+    assert count == sets and found == [f"{i}-{k}" for i, n in sorted(lines_of.items()) for k in range(n)]
+    checked = I.envelope_check(files(spark, *texts.values())).collect()
+    assert {r["Reason"] for r in checked} == {None}
