@@ -32,7 +32,7 @@ class Options:
     settled: float = 0.02
     group: int = 100
     width: int = 400
-    expand: int = 64
+    expand: int = 128
     entries: int = 32
     steps: int = 64
     query_block: int = 4096
@@ -166,13 +166,14 @@ def descend(points: DataFrame, size: int, o: Options) -> DataFrame:
         )
         links = first if links is None else links.unionAll(first)
     nearest = [F.col("near").desc(), F.col("b")]
-    start = links.groupBy("a", "b").agg(F.max("near").alias("near"), F.lit(True).alias("fresh"))
+    # Dealt out by a, links can be made distinct and cut to the nearest without moving again.
+    start = links.repartition("a").groupBy("a", "b").agg(F.max("near").alias("near"), F.lit(True).alias("fresh"))
     graph = settle(_top(start, "a", nearest, o.degree), "graph")
     for turn in range(o.rounds):
         forward = graph.select(F.col("a").alias("u"), F.col("b").alias("node"), "fresh")
         back = graph.select(F.col("b").alias("u"), F.col("a").alias("node"), "fresh")
         chance = [F.col("fresh").desc(), F.xxhash64(F.lit(turn), "node")]
-        around = forward.unionAll(_top(back, "u", chance, o.degree)).groupBy("u", "node").agg(F.max("fresh").alias("fresh"))
+        around = forward.unionAll(_top(back, "u", chance, o.degree))
         worst = graph.groupBy("a").agg(F.min("near").alias("least"), F.count(F.lit(1)).alias("has"))
         nodes = steering.join(worst.withColumnRenamed("a", "node"), "node", "left").select(
             "node", "small", F.when(F.col("has") >= o.degree, F.col("least")).otherwise(-2.0).alias("worst")
@@ -180,7 +181,7 @@ def descend(points: DataFrame, size: int, o: Options) -> DataFrame:
         offers = local_join(around.join(nodes, "node").select("u", "node", "fresh", "worst", "small"), size, o.degree)
         old = graph.select("a", "b", "near", F.lit(False).alias("fresh"))
         both = old.unionAll(offers.withColumn("fresh", F.lit(True)))
-        merged = both.groupBy("a", "b").agg(F.max("near").alias("near"), F.min("fresh").alias("fresh"))
+        merged = both.repartition("a").groupBy("a", "b").agg(F.max("near").alias("near"), F.min("fresh").alias("fresh"))
         graph = settle(_top(merged, "a", nearest, o.degree), "graph")
         if graph.where("fresh").count() <= o.settled * count * o.degree:
             break
@@ -251,30 +252,37 @@ def _search_block(index: Index, block: DataFrame, entries: list[int], k: int, o:
     own = block.join(index.points.select("digest", "node"), "digest").select("q", "node")
     first = begin.unionAll(own).distinct().select("q", F.lit(-2.0).alias("floor"), "node", none)
     steering = index.points.select("node", "small")
-    pool = _scored(first.join(steering, "node"), "small", shared, index.size, False)
-    pool = settle(pool.select("q", "node", "near", F.lit(False).alias("done")), "pool")
     nearest = [F.col("near").desc(), F.col("node")]
     by_query = W.partitionBy("q")
-    for _ in range(o.steps):
-        ranked = pool.withColumn("rank", F.row_number().over(by_query.orderBy(F.col("done"), *nearest))).withColumn(
-            "floor", F.when(F.count(F.lit(1)).over(by_query) >= o.width, F.min("near").over(by_query)).otherwise(-2.0)
+
+    def cut(seen: DataFrame) -> DataFrame:
+        """The nearest nodes of each query, which of them to expand next, and what others must exceed."""
+        kept = _top(seen, "q", nearest, o.width)
+        turn = F.row_number().over(by_query.orderBy(F.col("done"), *nearest))
+        full = F.count(F.lit(1)).over(by_query) >= o.width
+        marked = kept.withColumns(
+            {
+                "open": ~F.col("done") & (turn <= o.expand),
+                "floor": F.when(full, F.min("near").over(by_query)).otherwise(-2.0),
+            }
         )
-        marked = ranked.withColumn("open", ~F.col("done") & (F.col("rank") <= o.expand))
-        front = settle(marked.select("q", "node", "near", "floor", "done", "open"), "front")
-        if front.where("open").isEmpty():
+        return settle(marked, "pool")
+
+    begun = _scored(first.join(steering, "node"), "small", shared, index.size, False)
+    pool = cut(begun.select("q", "node", "near", F.lit(False).alias("done")))
+    for _ in range(o.steps):
+        front = pool.where("open")
+        if front.isEmpty():
             break
         reached = (
-            front.where("open")
-            .join(index.graph, "node")
+            front.join(index.graph, "node")
             .select("q", "floor", F.explode("around").alias("node"))
             .distinct()
-            .join(front.select("q", "node"), ["q", "node"], "left_anti")
+            .join(pool.select("q", "node"), ["q", "node"], "left_anti")
         )
         found = _scored(reached.select("*", none).join(steering, "node"), "small", shared, index.size, False)
-        seen = front.select("q", "node", "near", (F.col("done") | F.col("open")).alias("done"))
-        pool = settle(
-            _top(seen.unionAll(found.select("q", "node", "near", F.lit(False).alias("done"))), "q", nearest, o.width), "pool"
-        )
+        seen = pool.select("q", "node", "near", (F.col("done") | F.col("open")).alias("done"))
+        pool = cut(seen.unionAll(found.select("q", "node", "near", F.lit(False).alias("done"))))
     last = _top(pool, "q", nearest, max(4 * k, 48)).select("q", F.lit(-2.0).alias("floor"), "node")
     named = last.join(index.members, "node").join(index.points.select("node", "vector"), "node")
     return settle(_scored(named, "vector", shared, index.size, True), "nearest")
