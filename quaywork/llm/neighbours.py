@@ -28,10 +28,10 @@ class Options:
     """
 
     degree: int = 16
-    rounds: int = 8
+    rounds: int = 6
     settled: float = 0.02
     group: int = 100
-    width: int = 400
+    width: int = 600
     expand: int = 128
     entries: int = 32
     steps: int = 64
@@ -257,7 +257,8 @@ def _search_block(index: Index, block: DataFrame, entries: list[int], k: int, o:
 
     def cut(seen: DataFrame) -> DataFrame:
         """The nearest nodes of each query, which of them to expand next, and what others must exceed."""
-        kept = _top(seen, "q", nearest, o.width)
+        one = seen.repartition("q").groupBy("q", "node").agg(F.max("near").alias("near"), F.max("done").alias("done"))
+        kept = _top(one, "q", nearest, o.width)
         turn = F.row_number().over(by_query.orderBy(F.col("done"), *nearest))
         full = F.count(F.lit(1)).over(by_query) >= o.width
         marked = kept.withColumns(
@@ -274,13 +275,11 @@ def _search_block(index: Index, block: DataFrame, entries: list[int], k: int, o:
         front = pool.where("open")
         if front.isEmpty():
             break
-        reached = (
-            front.join(index.graph, "node")
-            .select("q", "floor", F.explode("around").alias("node"))
-            .distinct()
-            .join(pool.select("q", "node"), ["q", "node"], "left_anti")
+        # At most query_block times expand rows, so the graph stays where it is.
+        reached = index.graph.join(F.broadcast(front.select("q", "floor", "node")), "node").select(
+            "q", "floor", F.explode("around").alias("node"), none
         )
-        found = _scored(reached.select("*", none).join(steering, "node"), "small", shared, index.size, False)
+        found = _scored(reached.join(steering, "node"), "small", shared, index.size, False)
         seen = pool.select("q", "node", "near", (F.col("done") | F.col("open")).alias("done"))
         pool = cut(seen.unionAll(found.select("q", "node", "near", F.lit(False).alias("done"))))
     last = _top(pool, "q", nearest, max(4 * k, 48)).select("q", F.lit(-2.0).alias("floor"), "node")
