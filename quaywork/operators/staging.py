@@ -261,7 +261,7 @@ def bulk_accept(orders: DataFrame, as_of: datetime | None = None) -> DataFrame:
             "AttemptCount": F.when(ready, F.coalesce("AttemptCount", F.lit(0)) + 1).otherwise(
                 F.col("AttemptCount")
             ),
-            "ErrorMessage": F.when(~ready, F.col("ErrorMessage")),
+            "ErrorMessage": F.when(~F.coalesce(ready, F.lit(False)), F.col("ErrorMessage")),
             "ProcessedDateTime": F.when(ready, clock(as_of)).otherwise(F.col("ProcessedDateTime")),
         }
     )
