@@ -64,14 +64,10 @@ def source_targets(
     return levelled.select("source", "source_size", "weight", target.alias("target"))
 
 
-def plan_mix(
-    docs: DataFrame,
-    weights: DataFrame | None = None,
-    budget: float | None = None,
-    max_rate: float = 3.0,
-    seed: int = 42,
-    key: str = "doc_id",
-) -> DataFrame:
+PLANNED = ["size", "source_size", "target", "rate", "copies"]
+
+
+def plan_mix(docs: DataFrame, weights: DataFrame | None = None, **options) -> DataFrame:
     """Every document with its size and the number of copies that the mix takes.
 
     Adds ``size`` (words), ``source_size``, ``target`` (words wanted from the
@@ -86,8 +82,20 @@ def plan_mix(
     are replaced.  Empty input: no rows.
 
     Sizes are summed per source before the shuffle; documents join the result,
-    one row per source, by its real size.
+    one row per source, by its real size.  Options are those of :func:`_planned`.
     """
+    return unpacked(_planned(docs, weights, **options), PLANNED)
+
+
+def _planned(
+    docs: DataFrame,
+    weights: DataFrame | None = None,
+    budget: float | None = None,
+    max_rate: float = 3.0,
+    seed: int = 42,
+    key: str = "doc_id",
+) -> DataFrame:
+    """The plan with each document as ``row``; ``weights`` has (source, weight), ``budget`` is in words."""
     sized = packed(docs).withColumn("size", word_count(F.col("row.text")))
     stats = settle(
         sized.groupBy(F.col("row.source").alias("source")).agg(F.sum("size").alias("source_size")),
@@ -102,17 +110,13 @@ def plan_mix(
         F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(max_rate)))
     ).otherwise(0.0)
     draw = uniform(F.col(f"row.`{key}`").cast("string"), seed=seed)
-    planned = joined.withColumn("rate", rate).withColumn(
+    return joined.withColumn("rate", rate).withColumn(
         "copies",
         (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("bigint")).cast("bigint"),
     )
-    return unpacked(planned, ["size", "source_size", "target", "rate", "copies"])
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: each document as often as :func:`plan_mix` says, with its own columns."""
-    planned = plan_mix(docs, **options)
-    repeated = planned.where("copies > 0").withColumn(
-        "copies", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    )
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = _planned(docs, **options).where("copies > 0")
+    return unpacked(taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))), [])

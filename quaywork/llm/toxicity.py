@@ -217,6 +217,12 @@ def score_toxicity(docs: DataFrame, machine: Machine, text: str = "text", at: fl
     )
 
 
+def keep_clean(docs: DataFrame, machine: Machine, text: str = "text", at: float = 0.5) -> DataFrame:
+    """The documents that score below ``at``, with their own columns."""
+    scored = packed(docs).withColumn("score", toxicity_score(machine, docs, f"row.`{text}`"))
+    return unpacked(scored.where(F.col("score") < at), [])
+
+
 def held_out(key: Column | str, folds: int, fold: int) -> Column:
     """Whether crc32 of the key as text falls into a fold; a null key does not."""
     column = F.col(key) if isinstance(key, str) else key

@@ -75,6 +75,7 @@ def test_mix_emits_each_copy_with_its_own_columns(spark):
         counts[r["doc_id"], r["text"]] = counts.get((r["doc_id"], r["text"]), 0) + r["copies"]
     mixed = mix(docs)
     assert mixed.columns == docs.columns
+    assert {r["size"] for r in mixed.collect()} <= {"x", "", None}
     seen: dict = {}
     for r in mixed.collect():
         seen[r["doc_id"], r["text"]] = seen.get((r["doc_id"], r["text"]), 0) + 1
