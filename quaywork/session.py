@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_scratch: list[str] = []
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -54,4 +56,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder for intermediate data; :func:`clear_scratch` removes it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders this process has made; what is still read from them must be done."""
+    count = len(_scratch)
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from quaywork.session import build_session  # noqa: E402
+from quaywork.session import build_session, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,4 +15,5 @@ def spark():
     session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
