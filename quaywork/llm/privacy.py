@@ -247,9 +247,10 @@ def disclosing_terms(detected: DataFrame, docs: DataFrame, options: Options, tex
             F.array_distinct(F.regexp_extract_all(F.lower(whole_text(F.col(f"`{text}`"))), F.lit(WORDS), F.lit(0)))
         ).alias("term")
     )
-    # Counted before the join, so that what the join makes is one row a term however common it is.
+    # Counted before the join, so that what the join makes is one row a term however common it is; a
+    # semi-join would be moved below the counting, an inner join with distinct terms is not.
     counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    with_term = counted.join(wanted, "term", "left_semi")
+    with_term = counted.join(wanted, "term")
     with_entity = (
         detected.where(F.size("spans") > 0)
         .select(F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
