@@ -51,12 +51,13 @@ class Index:
 
 
 def _small(units: np.ndarray) -> np.ndarray:
-    """Unit vectors in one byte a component, for comparisons that only steer."""
-    return np.rint(units * (127 / np.abs(units).max(axis=1, keepdims=True))).astype(np.int8)
+    """Unit vectors in four bytes a component, for comparisons that only steer."""
+    return units.astype(np.float32)
 
 
 def _large(column: pa.Array, size: int) -> np.ndarray:
-    flat = np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, size).astype(np.float32)
+    """Made units again in doubles, so that rounding shifts a distance by about 1e-7 and noisy copies keep their order."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, size).astype(np.float64)
     return flat / np.sqrt((flat * flat).sum(axis=1, keepdims=True))
 
 
@@ -282,9 +283,12 @@ def _search_block(index: Index, block: DataFrame, entries: list[int], k: int, o:
         found = _scored(reached.join(steering, "node"), "small", shared, index.size, False)
         seen = pool.select("q", "node", "near", (F.col("done") | F.col("open")).alias("done"))
         pool = cut(seen.unionAll(found.select("q", "node", "near", F.lit(False).alias("done"))))
-    last = _top(pool, "q", nearest, max(4 * k, 48)).select("q", F.lit(-2.0).alias("floor"), "node")
-    named = last.join(index.members, "node").join(index.points.select("node", "vector"), "node")
-    return settle(_scored(named, "vector", shared, index.size, True), "nearest")
+    last = pool.select("q", F.lit(-2.0).alias("floor"), "node", none).join(index.points.select("node", "vector"), "node")
+    exact = _scored(last, "vector", shared, index.size, True).select("q", "node", "near")
+    # A node bears one key at least, and one node may be the query's own; equal scores go by key, so they stay.
+    place = F.rank().over(W.partitionBy("q").orderBy(F.col("near").desc()))
+    best = exact.withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
+    return settle(best.join(index.members, "node").select("q", "node", "id", "near"), "nearest")
 
 
 def nearest(

@@ -67,3 +67,12 @@ def test_few_or_none(spark):
     assert found(spark, rows[:1]) == {}
     docs = spark.createDataFrame([], SCHEMA)
     assert nearest(docs, docs).count() == 0
+
+
+def test_recall_in_a_group_of_noisy_copies(spark):
+    rng = np.random.default_rng(5)
+    common = rng.normal(size=64)
+    rows = [(i, (common + 0.001 * rng.normal(size=64)).tolist()) for i in range(3000)]
+    got, want = found(spark, rows), brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
