@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from quaywork.llm.common import settle
 from quaywork.llm.vectors import matrix, with_digest
 
+LOG = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Options:
@@ -24,7 +27,9 @@ class Options:
     groups of about ``group`` nodes.  A search keeps the ``width`` nearest nodes
     seen and expands ``expand`` of them a step, from ``entries`` random nodes
     and the query's own node; queries are taken in blocks of about
-    ``query_block``, whose vectors are broadcast.
+    ``query_block``, whose vectors are broadcast.  ``sample`` queries are also
+    answered by a scan of all vectors, and ``width`` and ``expand`` are doubled
+    until the search finds a share of ``recall`` of those answers.
     """
 
     degree: int = 16
@@ -36,6 +41,8 @@ class Options:
     entries: int = 32
     steps: int = 64
     query_block: int = 4096
+    sample: int = 256
+    recall: float = 0.95
     seed: int = 3
 
 
@@ -291,6 +298,60 @@ def _search_block(index: Index, block: DataFrame, entries: list[int], k: int, o:
     return settle(best.join(index.members, "node").select("q", "node", "id", "near"), "nearest")
 
 
+def _scanned(index: Index, block: DataFrame, keep: int) -> DataFrame:
+    """(q, node, near): the ``keep`` nearest nodes of each query of one block, by comparing with every vector."""
+    local = block.select("q", "vector").orderBy("q").toArrow()
+    shared = block.sparkSession.sparkContext.broadcast(
+        (local.column("q").to_numpy(), matrix(local.column("vector").combine_chunks(), index.size))
+    )
+    size = index.size
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, units = shared.value
+        near, node = np.zeros((len(numbers), 0)), np.zeros((len(numbers), 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = np.hstack([near, units @ matrix(batch.column("vector"), size).T])
+            node = np.hstack([node, np.broadcast_to(batch.column("node").to_numpy(), (len(numbers), batch.num_rows))])
+            at = np.argsort(-near, axis=1, kind="stable")[:, :keep]
+            near, node = np.take_along_axis(near, at, 1), np.take_along_axis(node, at, 1)
+        q = np.repeat(numbers, near.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(node.ravel()), pa.array(near.ravel())], ["q", "node", "near"])
+
+    offers = index.points.select("node", "vector").mapInArrow(scan, "q bigint, node bigint, near double")
+    return settle(_top(offers, "q", [F.col("near").desc(), F.col("node")], keep), "scanned")
+
+
+def measured_recall(found: DataFrame, scanned: DataFrame, own: DataFrame, k: int) -> float:
+    """The share of the ``k`` nearest nodes of ``scanned`` that ``found`` names, or equals in score; own nodes left out."""
+    wanted = _top(scanned.join(own, ["q", "node"], "left_anti"), "q", [F.col("near").desc(), F.col("node")], k)
+    limits = wanted.groupBy("q").agg(F.min("near").alias("limit"), F.count(F.lit(1)).alias("n"))
+    mine = found.select("q", "node", "near").distinct().join(own, ["q", "node"], "left_anti")
+    hits = mine.join(limits, "q").groupBy("q", "n").agg(F.sum((F.col("near") >= F.col("limit") - 1e-12).cast("int")).alias("hits"))
+    got = hits.agg(F.sum(F.least("hits", "n")).alias("hits")).first()["hits"] or 0
+    return got / max(1, limits.agg(F.sum("n").alias("n")).first()["n"] or 0)
+
+
+def widened(index: Index, one: DataFrame, entries: list[int], k: int, o: Options) -> tuple[Options, float]:
+    """Options with which the search reaches ``o.recall`` on a sample of the queries, and what it reaches.
+
+    The sample is the queries of least hash.  A pool as large as the table ends
+    the search for more; it then leaves out only what the graph does not reach.
+    """
+    chosen = one.orderBy(F.xxhash64(F.lit(o.seed + 1), "digest"), "digest").limit(o.sample)
+    block = settle(chosen, "sample")
+    own = block.join(index.points.select("digest", "node"), "digest").select("q", "node")
+    scanned = _scanned(index, block, k + 1)
+    sampled, count = block.count(), index.points.count()
+    while True:
+        reached = measured_recall(_search_block(index, block, entries, k, o), scanned, own, k)
+        LOG.info("recall %.4f on %d sampled queries of %d vectors, width %d", reached, sampled, count, o.width)
+        if reached >= o.recall or o.width >= count:
+            return o, reached
+        o = replace(o, width=2 * o.width, expand=2 * o.expand)
+
+
 def nearest(
     rows: DataFrame,
     queries: DataFrame,
@@ -304,7 +365,8 @@ def nearest(
     Every row of ``rows`` is indexed and may be found; a query does not find
     rows of its own key.  Scores are cosines of the original vectors in doubles;
     the nearest comes first, ties go to the smaller key.  The search is
-    approximate: what it returns is ranked exactly, what it misses it misses.
+    approximate, but measured: it is widened until it finds ``recall`` of the
+    answers of a sample of queries, and what it returns is ranked exactly.
 
     Vectors that are null, empty, zero, or hold null or non-finite components,
     and rows without a key, take no part; vectors of different dimension are not
@@ -325,12 +387,15 @@ def nearest(
             r["node"]
             for r in index.points.orderBy(F.xxhash64(F.lit(o.seed), "digest"), "digest").limit(o.entries).select("node").collect()
         ]
+        if one.isEmpty():
+            continue
+        wide, _ = widened(index, one, entries, k, o)
         blocks = -(-one.count() // o.query_block)
         for b in range(blocks):
             block = one.where(F.pmod(F.xxhash64("digest"), F.lit(blocks)) == b)
             if block.isEmpty():
                 continue
-            found = _search_block(index, block, entries, k, o).join(one.select("q", "digest"), "q")
+            found = _search_block(index, block, entries, k, wide).join(one.select("q", "digest"), "q")
             named = found.join(mine.select("query_id", "digest"), "digest").where(F.col("query_id") != F.col("id"))
             rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
             ranked = (

@@ -76,3 +76,11 @@ def test_recall_in_a_group_of_noisy_copies(spark):
     got, want = found(spark, rows), brute(rows)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_search_widens_until_the_sample_is_found(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=32).tolist()) for i in range(2000)]
+    got, want = found(spark, rows, width=16, expand=8, entries=4), brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
