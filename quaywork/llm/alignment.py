@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -48,6 +49,8 @@ class Pair:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        # A task has one core; a pool of threads a worker would only compete for it.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.first = Tokenizer.from_str(byte_model.decode())
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
