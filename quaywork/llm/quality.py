@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -276,11 +277,13 @@ def fit_rules(
     )
     chosen = settle(chosen, "labelled")
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
-    found = measured(rows.join(F.broadcast(chosen), "key"), "body").where(~F.col("base_failed"))
+    # No filter on the counts here: Spark would move it, and the counting, below the join.
+    found = measured(rows.join(F.broadcast(chosen), "key"), "body")
     names = list(statistics())
     prunes = (uniform("row.key", seed=o.seed + 1) < 1 / 3).alias("prunes")
-    columns = [F.col("row.key").alias("key"), F.col("row.label").alias("label"), prunes]
+    columns = [F.col("row.key").alias("key"), F.col("row.label").alias("label"), prunes, "base_failed"]
     local = found.select(*columns, *[c.alias(n) for n, c in statistics().items()]).toArrow()
+    local = local.filter(pc.invert(local["base_failed"]))
     if not local.num_rows:
         return DecisionList(())
     values = np.column_stack([local[n].to_numpy() for n in names]).astype(float)
