@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from quaywork.llm.common import settle, table
 from quaywork.llm.mixing import mix
-from quaywork.llm.near_copies import keep_one_near
 from quaywork.llm.pieces import tokenize
 from quaywork.llm.privacy import sanitise
+from quaywork.llm.simhash import keep_one
 from quaywork.llm.toxicity import keep_clean
 from quaywork.llm.toxicity_queries import production_machine
 
@@ -32,8 +32,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, Jaccard similarity from 0.8, least doc_id."""
-    return keep_one_near(docs, shingle=5, similarity=0.8)
+    """One document of each group by SimHash, that of the least doc_id: 4-word shingles, at most 4 differing bits."""
+    return keep_one(docs, shingle=4, distance=4)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
