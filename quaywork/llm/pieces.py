@@ -6,7 +6,8 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain, pairwise
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,7 +78,7 @@ class Transducer:
     composed once and remembered.
     """
 
-    def __init__(self, model: bytes, remember: int = 400_000):
+    def __init__(self, model: bytes, remember: int = 100_000):
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
@@ -119,11 +120,28 @@ class Transducer:
             self.cut = self.odd_cut = WHOLE
         else:
             self.cut, self.odd_cut = FINE, COARSE
+        #: The next shorter piece that a piece begins with; a single character is always an arc.
+        self.shorter = {
+            p: next((p[:n] for n in range(len(p) - 1, 1, -1) if self.steps.get(p[:n])), p[0])
+            for p in self.ids
+            if len(p) > 1
+        }
         self.apart: dict[tuple[str, str], bool] = {}
+        self.parts: dict[str, tuple[str, str]] = {}
+        self.wild = self._out_of_order() if self.bpe else None
         self.known = _Known(self, remember)
         self.remember = remember
         self.surfaces = [self._surface(i) for i in range(len(self.pieces))]
 
+    def _out_of_order(self) -> re.Pattern | None:
+        """What finds a piece that does not score below the parts it is made of (a trained one does)."""
+        wild = [
+            piece
+            for piece, score in self.scores.items()
+            if len(piece) > 1 and any(len(x) > 1 and self.scores.get(x, inf) <= score for x in self._halves(piece))
+        ]
+        return re.compile("|".join(map(re.escape, wild))) if wild else None
+
     def _surface(self, i: int) -> str:
         if self.kinds[i] == BYTE:
             byte = int(self.pieces[i][3:5], 16)
@@ -132,46 +150,103 @@ class Transducer:
             return ""
         return UNKNOWN_SURFACE if self.kinds[i] == UNKNOWN else self.pieces[i].replace(SPACE, " ")
 
-    def _stay_apart(self, left: str, right: str) -> bool:
-        """Whether merging the joint text leaves the border between the two pieces."""
+    def _halves(self, piece: str) -> tuple[str, str]:
+        """The two parts whose merge makes a piece, remembered: the last merge within its own text."""
+        found = self.parts.get(piece)
+        if found is None:
+            parts = list(piece)
+            while len(parts) > 2:
+                scored = [(-self.scores.get(x + y, -self.penalty), i) for i, (x, y) in enumerate(pairwise(parts))]
+                at = min(scored)[1]
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            found = self.parts[piece] = parts[0], parts[1]
+        return found
+
+    def _merged_apart(self, left: str, right: str) -> bool:
+        """The same by merging the joint text, the best pair first, until a part reaches across the border."""
         parts, border = list(left + right), len(left)
         while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
+            score, at = max((self.scores.get(x + y, -inf), -i) for i, (x, y) in enumerate(pairwise(parts)))
+            if score == -inf:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            reach = 0
-            for part in parts:
-                reach += len(part)
-                if reach >= border:
-                    break
-            if reach > border:
+            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
+            if border not in accumulate(map(len, parts)):
                 return False
         return True
 
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """Whether merging the joint text leaves the border between the two pieces.
+
+        Pieces ``out of order`` are merged anew.  Otherwise the merges that made both pieces are undone, the last one (of the lower
+        score, of equal ones the one further right) first.  At no moment may the
+        two parts at the border make a piece that would have been merged before
+        the merge just undone.
+        """
+        scores, none = self.scores, -self.penalty
+        if left + right in scores:
+            return False
+        if self.wild is not None and self.wild.search(left + right):
+            return self._merged_apart(left, right)
+        while True:
+            ours = scores.get(left, 0.0) if len(left) > 1 else inf
+            theirs = scores.get(right, 0.0) if len(right) > 1 else inf
+            if ours == theirs == inf:
+                return True
+            if theirs <= ours:
+                right = self._halves(right)[0]
+                if scores.get(left + right, none) >= theirs:
+                    return False
+            else:
+                left = self._halves(left)[1]
+                if scores.get(left + right, none) > ours:
+                    return False
+
+    def _longest(self, text: str, start: int) -> str:
+        """The longest piece that begins here, at least one character."""
+        steps, best = self.steps, text[start]
+        for end in range(start + 1, len(text) + 1):
+            piece = text[start:end]
+            step = steps.get(piece)
+            if step:
+                best = piece
+            elif step is None:
+                break
+        return best
+
     def _merged_path(self, text: str) -> list[str]:
-        last: list[str | None] = ["", *[None] * len(text)]
-        steps, apart = self.steps, self.apart
-        for start in range(len(text)):
-            before = last[start]
-            for end in range(start + 1, len(text) + 1):
-                piece = text[start:end]
-                step = steps.get(piece)
-                if last[end] is None and (step or end == start + 1):
-                    fits = not before or apart.get((before, piece))
+        """The path of finite weight, sought depth first, longest arcs first.
+
+        Every beginning of a text has one such path, so an end that was reached
+        and could not be left is not tried again.
+        """
+        path: list[str] = []
+        dead: set[int] = set()
+        apart, shorter, start, size = self.apart, self.shorter, 0, len(text)
+        piece: str | None = self._longest(text, 0)
+        while True:
+            while piece is not None:
+                fits = start + len(piece) not in dead
+                if fits and path:
+                    before = path[-1]
+                    fits = apart.get((before, piece))
                     if fits is None:
                         if len(apart) >= self.remember:
                             apart.clear()
                         fits = apart[before, piece] = self._stay_apart(before, piece)
-                    if fits:
-                        last[end] = piece
-                if step is None:
+                if fits:
                     break
-        return self._backwards(text, last)
+                piece = shorter.get(piece)
+            if piece is None:
+                dead.add(start)
+                last = path.pop()
+                start -= len(last)
+                piece = shorter.get(last)
+            else:
+                path.append(piece)
+                start += len(piece)
+                if start == size:
+                    return path
+                piece = self._longest(text, start)
 
     def _cheapest_path(self, text: str) -> list[str]:
         cost, last = [0.0, *[float("inf")] * len(text)], ["", *[None] * len(text)]
@@ -291,12 +366,17 @@ class Tokenizer:
 
         @F.arrow_udf("struct<ids: array<int>, round_trip: boolean>")
         def both(texts: pa.Array) -> pa.Array:
-            fst, found, same = _transducer(shared, name), [], []
-            for t in texts:
-                value = t.as_py() or ""
-                found.append(fst.encode(value))
-                same.append(fst.decode(found[-1]) == value.replace(SPACE, " "))
-            return pa.StructArray.from_arrays([_lists(found), pa.array(same)], ["ids", "round_trip"])
+            fst, same = _transducer(shared, name), []
+
+            def coded():
+                for t in texts:
+                    value = t.as_py() or ""
+                    ids = fst.encode(value)
+                    same.append(fst.decode(ids) == value.replace(SPACE, " "))
+                    yield ids
+
+            ids = _lists(coded())
+            return pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
         return both(text)
 
