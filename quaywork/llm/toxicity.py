@@ -27,19 +27,23 @@ class Options:
     """Bounds and strengths of a fit.
 
     ``max_rows``: labelled documents that are learned from, the least by a hash
-    of their key.  ``max_terms``: buckets that may carry weights, the most
-    telling by likelihood ratio; ``min_ratio`` and ``min_rows`` they must reach.
-    A fit takes ``epochs`` passes, and at least ``least_steps`` batches of 256 rows.
+    of their key.  Every bucket that ``min_rows`` of them hold may carry a
+    weight and a vector.  Of the ``ratios`` that one is taken whose machine has
+    the least loss on a fifth of these documents set aside: only buckets whose
+    likelihood ratio reaches it alone are admitted; 0 admits all, for labels
+    that only pairs of terms tell.  A fit takes ``epochs`` passes, and goes on
+    until it has made ``least_steps`` batches of 256 rows or seen ``least_seen``
+    terms.
     """
 
     bits: int = 20
     max_rows: int = 20_000
-    max_terms: int = 1024
-    min_ratio: float = 15.0
     min_rows: int = 4
+    ratios: tuple[float, ...] = (15.0, 0.0)
     rank: int = 4
-    epochs: int = 20
+    epochs: int = 8
     least_steps: int = 2000
+    least_seen: int = 30_000_000
     rate: float = 0.1
     penalty: float = 1e-3
     seed: int = 7
@@ -59,7 +63,7 @@ class Machine:
         for term in set(_TERM.findall(text.lower())):
             at = known.get(term)
             if at is None:
-                if len(known) > 300_000:
+                if len(known) > 100_000:
                     known.clear()
                 at = known[term] = self.places.get(xxhash.xxh64_intdigest(term) & mask, -1)
             found.add(at)
@@ -77,56 +81,114 @@ class Machine:
         return out
 
 
-def _fit(rows: list[list[int]], labels: np.ndarray, buckets: np.ndarray, o: Options) -> Machine:
-    """Logistic loss by adaptive gradient steps over batches of sparse rows."""
+class Rows:
+    """Bounded labelled documents as sparse rows: the columns of all rows one after the other."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+        self.flat, self.sizes, self.labels = flat, sizes, labels
+        self.starts = np.cumsum(sizes) - sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def owners(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), self.sizes)
+
+    def picked(self, rows: np.ndarray) -> Rows:
+        sizes = self.sizes[rows]
+        first = np.cumsum(sizes) - sizes
+        at = np.repeat(self.starts[rows] - first, sizes) + np.arange(sizes.sum())
+        return Rows(self.flat[at], sizes, self.labels[rows])
+
+    def admitted(self, columns: np.ndarray) -> Rows:
+        """The same rows with only the given sorted columns, numbered anew."""
+        place = np.searchsorted(columns, self.flat)
+        place[place == len(columns)] = 0
+        held = columns[place] == self.flat if len(columns) else np.zeros(len(self.flat), bool)
+        sizes = np.bincount(self.owners()[held], minlength=len(self))
+        return Rows(place[held], sizes, self.labels)
+
+    def margins(self, bias: float, weights: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        owner, vectors, n = self.owners(), pairs[self.flat], len(self)
+        together = [np.bincount(owner, vectors[:, k], n) for k in range(pairs.shape[1])]
+        own = np.bincount(owner, (vectors**2).sum(axis=1), n)
+        return bias + np.bincount(owner, weights[self.flat], n) + 0.5 * (sum(t**2 for t in together) - own)
+
+
+def _fit(rows: Rows, size: int, o: Options) -> tuple[float, np.ndarray, np.ndarray]:
+    """Logistic loss by adaptive gradient steps; a batch moves only the columns it holds."""
     rng = np.random.default_rng(o.seed)
-    size = len(buckets)
-    share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
-    bias = np.log(share / (1 - share))
+    share = float(np.clip(rows.labels.mean(), 1e-3, 1 - 1e-3))
+    bias = float(np.log(share / (1 - share)))
     weights, pairs = np.zeros(size), rng.normal(0, 0.05, (size, o.rank))
-    seen = [1e-8, np.full(size, 1e-8), np.full((size, o.rank), 1e-8)]
+    if not len(rows.flat):
+        return bias, weights, pairs
+    seen_b, seen_w, seen_v = 1e-8, np.full(size, 1e-8), np.full((size, o.rank), 1e-8)
     batches = -(-len(rows) // 256)
-    for _ in range(max(o.epochs, -(-o.least_steps // batches))):
+    passes = max(o.epochs, min(-(-o.least_steps // batches), o.least_seen // len(rows.flat)))
+    for _ in range(passes):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), 256):
-            pick = order[at : at + 256]
-            lengths = np.array([len(rows[i]) for i in pick])
-            owner = np.repeat(np.arange(len(pick)), lengths)
-            x = np.array([t for i in pick for t in rows[i]], np.int64)
-            vectors = pairs[x]
-
-            def per_row(values: np.ndarray, owner=owner, count=len(pick)) -> np.ndarray:
-                return np.bincount(owner, values, count)
-
-            together = np.stack([per_row(vectors[:, k]) for k in range(o.rank)], axis=1)
-            margin = bias + per_row(weights[x]) + 0.5 * (
-                (together**2).sum(axis=1) - per_row((vectors**2).sum(axis=1))
-            )
-            slope = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[pick]) / len(pick)
-            each = slope[owner]
-            g_w = np.bincount(x, each, size) + o.penalty / 10 * weights
-            pull = each[:, None] * (together[owner] - vectors)
-            g_v = np.stack([np.bincount(x, pull[:, k], size) for k in range(o.rank)], axis=1)
-            g_v += o.penalty * pairs
+            part = rows.picked(order[at : at + 256])
+            if not len(part.flat):
+                continue
+            used, x = np.unique(part.flat, return_inverse=True)
+            owner, vectors, n = part.owners(), pairs[used], len(part)
+            each = vectors[x]
+            together = np.stack([np.bincount(owner, each[:, k], n) for k in range(o.rank)], axis=1)
+            own = np.bincount(owner, (each**2).sum(axis=1), n)
+            margin = bias + np.bincount(owner, weights[used][x], n) + 0.5 * ((together**2).sum(axis=1) - own)
+            slope = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - part.labels) / n
+            pull = slope[owner][:, None] * (together[owner] - each)
+            g_w = np.bincount(x, slope[owner], len(used)) + o.penalty / 10 * weights[used]
+            g_v = np.stack([np.bincount(x, pull[:, k], len(used)) for k in range(o.rank)], axis=1)
+            g_v += o.penalty * vectors
             g_b = slope.sum()
-            seen[0] += g_b**2
-            seen[1] += g_w**2
-            seen[2] += g_v**2
-            bias -= o.rate * g_b / np.sqrt(seen[0])
-            weights -= o.rate * g_w / np.sqrt(seen[1])
-            pairs -= o.rate * g_v / np.sqrt(seen[2])
-    return Machine(buckets, float(bias), weights, pairs, o.bits)
-
-
-def _likelihood_ratio(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """G squared of a 2 x 2 table."""
-    total = a + b + c + d
-
-    def part(n: Column, row: Column, column: Column) -> Column:
-        return F.when(n > 0, n * F.log(n * total / (row * column))).otherwise(0.0)
-
-    parts = part(a, a + b, a + c) + part(b, a + b, b + d) + part(c, c + d, a + c) + part(d, c + d, b + d)
-    return 2 * parts
+            seen_b += g_b**2
+            seen_w[used] += g_w**2
+            seen_v[used] += g_v**2
+            bias -= o.rate * g_b / np.sqrt(seen_b)
+            weights[used] -= o.rate * g_w / np.sqrt(seen_w[used])
+            pairs[used] = vectors - o.rate * g_v / np.sqrt(seen_v[used])
+    return float(bias), weights, pairs
+
+
+def _likelihood_ratios(rows: Rows, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows that hold it, G squared of its 2 x 2 table with the label) for each column."""
+    n, bad = len(rows), rows.labels.sum()
+    held = np.bincount(rows.flat, minlength=size).astype(float)
+    a = np.bincount(rows.flat, rows.labels[rows.owners()], size)
+    total = np.zeros(size)
+    for count, row, column in (
+        (a, held, bad),
+        (held - a, held, n - bad),
+        (bad - a, n - held, bad),
+        (n - bad - held + a, n - held, n - bad),
+    ):
+        expected = row * column / n
+        some = (count > 0) & (expected > 0)
+        total[some] += 2 * count[some] * np.log(count[some] / expected[some])
+    return held, total
+
+
+def _columns(rows: Rows, size: int, ratio: float, o: Options) -> np.ndarray:
+    held, ratios = _likelihood_ratios(rows, size)
+    return np.flatnonzero((held >= o.min_rows) & (ratios >= ratio))
+
+
+def _chosen_ratio(rows: Rows, size: int, o: Options) -> float:
+    """Of ``ratios`` the one whose machine loses least on rows it has not seen."""
+    aside = np.random.default_rng(o.seed + 1).random(len(rows)) < 0.2
+    learned, tried = (rows.picked(np.flatnonzero(m)) for m in (~aside, aside))
+    if len(o.ratios) == 1 or not len(tried) or not 0 < learned.labels.sum() < len(learned):
+        return o.ratios[0]
+    losses = []
+    for ratio in o.ratios:
+        columns = _columns(learned, size, ratio, o)
+        machine = _fit(learned.admitted(columns), len(columns), o)
+        signed = tried.admitted(columns).margins(*machine) * (1 - 2 * tried.labels)
+        losses.append(float(np.logaddexp(0, signed).mean()))
+    return o.ratios[int(np.argmin(losses))]
 
 
 def fit_machine(
@@ -141,8 +203,8 @@ def fit_machine(
 
     Labels without a key or value are left out; of several for a key the
     largest counts.  The learned rows are bounded by ``max_rows``, so their
-    labels may be broadcast and their kept buckets, at most ``max_terms`` each,
-    may be fitted in one place.  Without rows of both labels the bias is all.
+    labels may be broadcast and their buckets fitted in one place.  Without
+    rows of both labels, or where no bucket is frequent enough, the bias is all.
     """
     o = options
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
@@ -161,35 +223,16 @@ def fit_machine(
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body")).join(F.broadcast(chosen), "key")
     rows = settle(rows.select("key", "label", buckets_of("body").alias("buckets")), "terms")
-    totals = rows.agg(F.count("label").alias("n"), F.sum("label").alias("bad")).first()
-    n, bad = totals["n"], totals["bad"] or 0
-    if not 0 < bad < n:
-        share = bad / n if n else 0.0
-        bias = 4.0 if share == 1 else -4.0
+    local = rows.orderBy("key", "buckets").select("label", "buckets").toArrow()
+    truth = local["label"].to_numpy().astype(float)
+    if not 0 < truth.sum() < len(truth):
+        bias = 4.0 if len(truth) and truth.all() else -4.0
         return Machine(np.array([], np.int64), bias, np.zeros(0), np.zeros((0, o.rank)), o.bits)
-    counts = rows.select("label", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
-        F.sum("label").cast("double").alias("a"), F.count("label").cast("double").alias("all")
-    )
-    a, every = F.col("a"), F.col("all")
-    ratio = _likelihood_ratio(a, every - a, F.lit(float(bad)) - a, F.lit(float(n - bad)) - (every - a))
-    best = (
-        counts.where(every >= o.min_rows)
-        .withColumn("ratio", ratio)
-        .where(F.col("ratio") >= o.min_ratio)
-        .orderBy(F.col("ratio").desc(), "bucket")
-        .limit(o.max_terms)
-    )
-    buckets = np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), np.int64)
-    places = {int(b): i for i, b in enumerate(buckets)}
-
-    @F.arrow_udf("array<int>")
-    def kept(lists: pa.Array) -> pa.Array:
-        found = [[places[b] for b in x.as_py() if b in places] for x in lists]
-        return pa.array(found, pa.list_(pa.int32()))
-
-    learned = rows.select("key", "label", kept("buckets").alias("row")).orderBy("key", "row")
-    local = learned.toArrow().to_pydict()
-    return _fit(local["row"], np.array(local["label"], float), buckets, o)
+    lists = local["buckets"].combine_chunks()
+    sparse = Rows(lists.flatten().to_numpy().astype(np.int64), np.diff(lists.offsets.to_numpy()), truth)
+    size = 1 << o.bits
+    columns = _columns(sparse, size, _chosen_ratio(sparse, size, o), o)
+    return Machine(columns, *_fit(sparse.admitted(columns), len(columns), o), o.bits)
 
 
 def toxicity_score(machine: Machine, docs: DataFrame, text: str = "text") -> Column:
