@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaywork.functions.columns import join_text, minute_index, strip
-from quaywork.functions.skew import latest_before, numbered, running_sum
+from quaywork.functions.skew import globally_numbered, latest_before, running_sum
 
 # Status texts, prefixes and the cost defaults.
 PENDING = "Pending Gate 1 review"
@@ -89,21 +89,14 @@ def cost_ratio(
     )
 
 
-def assign_numbers(new: DataFrame, existing: DataFrame, order: str, per_slice: int = 4096) -> DataFrame:
+def assign_numbers(new: DataFrame, existing: DataFrame, order: str) -> DataFrame:
     """Number a new batch without gaps, after the highest existing number.
 
-    ``order`` is a numeric unique column.  The numbering is sliced by value
-    ranges, so no task sees the whole batch.
+    ``order`` is a unique column.  The batch is numbered by a prefix sum over
+    its ranges, so no task sees all of it, however sparse the values are.
     """
-    top = existing.agg(F.coalesce(F.max("CRNumber"), F.lit(0)).alias("top")).scalar()
-    ranked = numbered(
-        new.withColumn("_all", F.lit(1)),
-        ["_all"],
-        [F.col(order)],
-        F.floor(F.col(order) / F.lit(per_slice)),
-        "_rank",
-    )
-    return ranked.withColumn("CRNumber", (top + F.col("_rank")).cast("bigint")).drop("_all", "_rank")
+    top = existing.agg(F.coalesce(F.max("CRNumber"), F.lit(0)).alias("top")).first()["top"]
+    return globally_numbered(new, [F.col(order)], "CRNumber", int(top))
 
 
 def status_badge(status: Column) -> Column:

@@ -19,7 +19,8 @@ from quaywork.functions.columns import (
     strip,
     timestamp_text,
 )
-from quaywork.functions.skew import previous
+from quaywork.functions.skew import latest_before, numbered
+from quaywork.session import scratch_path
 
 # The question patterns.  (?U) makes word boundaries Unicode-aware.
 PO_PATTERN = (
@@ -46,6 +47,8 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 COMMENT_LIMIT = 1000
 RATE_WINDOW_SECONDS = 3600
 RATE_LIMIT = 20
+#: Times that share a slice where a key is cut.
+SLICE_MICROS = 60_000_000
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -416,75 +419,86 @@ def search_lines(corpus: DataFrame, literal: str, n: int | None = 20) -> DataFra
     return hits if n is None else hits.orderBy("Id", "LineNo").limit(n)
 
 
+def _next_starts(times: DataFrame, width: int) -> DataFrame:
+    """(Key, _t, _next): the first time of the key that is more than ``width`` later, null if there is none.
+
+    Times and the ends of their windows are put in one order, backwards, so that
+    the time sought is the last one before the end in that order.
+    """
+    points = times.select("Key", F.col("_t").alias("_at"), F.lit(1).alias("_kind"))
+    ends = times.select("Key", (F.col("_t") + width).alias("_at"), F.lit(0).alias("_kind"))
+    order = [-F.col("_at"), F.col("_kind")]
+    slice_by = -F.floor(F.col("_at") / F.lit(SLICE_MICROS))
+    seen = latest_before(
+        points.unionByName(ends), ["Key"], order, slice_by, F.when(F.col("_kind") == 1, F.col("_at")), "_next"
+    )
+    return seen.where("_kind = 0").select("Key", (F.col("_at") - width).alias("_t"), "_next")
+
+
+def window_starts(times: DataFrame, width: int) -> DataFrame:
+    """(Key, _t) of the distinct ``times`` that open a window.
+
+    A key's first time opens one, and from each start the next is the first
+    time more than ``width`` later.  Every time points to what would follow it;
+    the pointers are followed by doubling: in each round the starts found so far
+    give those as many steps further on again, and every pointer is joined with
+    itself.  So the joins are a logarithm of a key's windows, and no task walks
+    along a key.
+    """
+    spark = times.sparkSession
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    pointers = written(_next_starts(times, width).where("_next IS NOT NULL"), "pointers")
+    starts = written(times.groupBy("Key").agg(F.min("_t").alias("_t")), "starts")
+    while not pointers.isEmpty():
+        further = starts.join(pointers, ["Key", "_t"]).select("Key", F.col("_next").alias("_t"))
+        # A start's successors of 1, 2, 4, ... steps are all different, so nothing is found twice.
+        starts = written(starts.unionByName(further), "starts")
+        second = pointers.select("Key", F.col("_t").alias("_next"), F.col("_next").alias("_after"))
+        doubled = pointers.join(second, ["Key", "_next"]).select("Key", "_t", F.col("_after").alias("_next"))
+        pointers = written(doubled, "pointers")
+    return starts
+
+
 def rate_limit(
     events: DataFrame, seconds: int = RATE_WINDOW_SECONDS, limit: int = RATE_LIMIT
 ) -> DataFrame:
     """Marks requests of (Key, EventTime, EventId) beyond ``limit`` per window.
 
     A window opens with a key's first request and the next one opens with the
-    first request more than ``seconds`` later.  A pause longer than that always
-    opens a window, so each key is first cut at its pauses; the stretches are
-    independent and spread over the cluster.  Inside a stretch the requests are
-    sorted by Spark and folded as a stream with constant memory.
+    first request more than ``seconds`` later.  The starts are found by
+    :func:`window_starts`.  They are more than a window apart, so a stretch of
+    that length holds one at most, and a request's own start lies in its stretch
+    or the one before: two equi-joins.  Requests are then numbered inside
+    (Key, start).  Requests without key are one key, those without time are left
+    out.
     """
-    stamped = events.select("Key", "EventTime", "EventId", micros(F.col("EventTime")).alias("_t"))
     width = seconds * 1_000_000
+    stamped = events.select(
+        F.col("Key").alias("_name"),
+        "EventTime",
+        "EventId",
+        F.coalesce(F.concat(F.lit("="), F.col("Key").cast("string")), F.lit("")).alias("Key"),
+        micros(F.col("EventTime")).alias("_t"),
+    ).where("_t IS NOT NULL")
+    starts = window_starts(stamped.select("Key", "_t").distinct(), width)
+    stretch = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
+    here = starts.select("Key", stretch.alias("_stretch"), F.col("_t").alias("_here"))
+    before = here.select("Key", (F.col("_stretch") + 1).alias("_stretch"), F.col("_here").alias("_before"))
+    placed = (
+        stamped.withColumn("_stretch", stretch)
+        .join(here, ["Key", "_stretch"], "left")
+        .join(before, ["Key", "_stretch"], "left")
+        .withColumn("WindowStart", F.coalesce(F.when(F.col("_here") <= F.col("_t"), F.col("_here")), "_before"))
+    )
     order = [F.col("_t"), F.col("EventId")]
-    slice_by = F.floor(F.col("_t") / F.lit(60_000_000))
-    chained = previous(stamped, ["Key"], order, slice_by, F.col("_t"), "_prev")
-    opens = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > width)
-    # The start of a stretch is its last opening so far: a running maximum,
-    # carried over slices like every other window here.
-    marked = chained.withColumn("_open", F.when(opens, F.col("_t")))
-    inside = W.partitionBy("Key", "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    across = W.partitionBy("Key").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    sliced = marked.withColumn("_slice", slice_by)
-    carried = (
-        sliced.groupBy("Key", "_slice")
-        .agg(F.max("_open").alias("_top"))
-        .withColumn("_carry", F.max("_top").over(across))
-        .drop("_top")
-    )
-    stretches = (
-        sliced.withColumn("_seen", F.max("_open").over(inside))
-        .join(carried, ["Key", "_slice"])
-        .select(
-            "Key", "EventTime", "EventId", "_t", F.coalesce("_seen", "_carry").alias("_stretch")
-        )
+    ranked = numbered(
+        placed, ["Key", "WindowStart"], order, F.floor(F.col("_t") / F.lit(SLICE_MICROS)), "_rank"
     )
-    keyed = stretches.repartition("Key", "_stretch").sortWithinPartitions(
-        "Key", "_stretch", "_t", "EventId"
-    )
-
-    def fold(batches):
-        import numpy as np
-
-        stretch, start, count = None, 0, 0
-        for batch in batches:
-            times = batch["_t"].to_numpy()
-            ids = list(zip(batch["Key"], batch["_stretch"]))
-            cuts = [i for i in range(1, len(ids)) if ids[i] != ids[i - 1]]
-            starts = np.zeros(len(batch), dtype=np.int64)
-            ranks = np.zeros(len(batch), dtype=np.int64)
-            for low, high in zip([0, *cuts], [*cuts, len(ids)]):
-                if ids[low] != stretch:
-                    stretch, start, count = ids[low], times[low], 0
-                while low < high:
-                    # Rows up to the end of the open window, then the next opens.
-                    end = low + int(np.searchsorted(times[low:high], start + width, "right"))
-                    ranks[low:end] = count + np.arange(1, end - low + 1)
-                    starts[low:end] = start
-                    count += end - low
-                    low = end
-                    if low < high:
-                        start, count = times[low], 0
-            yield batch[["Key", "EventTime", "EventId"]].assign(
-                WindowStart=starts, Denied=ranks > limit
-            )
-
-    kinds = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    out = (
-        f"Key {kinds['Key']}, EventTime {kinds['EventTime']}, EventId {kinds['EventId']}, "
-        "WindowStart bigint, Denied boolean"
+    return ranked.select(
+        F.col("_name").alias("Key"), "EventTime", "EventId", "WindowStart", (F.col("_rank") > limit).alias("Denied")
     )
-    return keyed.mapInPandas(fold, out)

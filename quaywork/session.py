@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _scratch: list[str] = []
+#: Temporary folders of local sessions without a setting, by application.
+_local: dict[str, str] = {}
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,8 +52,9 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="quaywork-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        # The setting cannot be changed in a running session, so the folder is remembered here.
+        folder = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="quaywork-")
+        _local[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywork import schemas as S
 from quaywork.functions.columns import clock, from_micros, micros, second_index
-from quaywork.functions.skew import join_checked, numbered
+from quaywork.functions.skew import carried, globally_numbered, join_checked
 
 CONTAINERS = ("archive", "inbound")
 
@@ -42,18 +42,9 @@ def number_files(
     broadcast.
     """
     second = second_index(F.col("LoadDateTime"))
-    place = F.xxhash64("FilePath")
-    # Slices follow (second, hash) order: the ten leading bits of the hash.
-    coarse = second * 1024 + F.shiftrightunsigned(place.bitwiseXOR(F.lit(-(1 << 63))), 54)
-    ids = numbered(
-        (received if listing is None else listing)
-        .select("FilePath", "LoadDateTime")
-        .withColumn("_all", F.lit(1)),
-        ["_all"],
-        [second, place, F.col("FilePath")],
-        coarse,
-        "RawId",
-    ).select("FilePath", (F.col("RawId") + after).alias("RawId"))
+    found = (received if listing is None else listing).select("FilePath", "LoadDateTime")
+    order = [second, F.xxhash64("FilePath"), F.col("FilePath")]
+    ids = globally_numbered(found, order, "RawId", after).select("FilePath", "RawId")
     numbered_files = join_checked(received, ids, "FilePath", "inner")
     return numbered_files.select(*S.columns("files"))
 
@@ -120,32 +111,31 @@ def queue_metrics(listing: DataFrame, as_of: datetime | None = None) -> DataFram
 def locate_files(names: DataFrame, listing: DataFrame) -> DataFrame:
     """Stored copy of each FileName: archive before inbound, exact before prefix.
 
-    A stored name is offered under each of its own prefixes that is asked for,
-    so the prefix match is an equi-join; only the lengths that occur among the
-    asked names are tried.
+    The stored names that begin with an asked one follow it in the order of
+    names, an equal one first.  So asked and stored names are sorted together,
+    backwards, and the nearest stored name of either kind of container is carried
+    along; if that one does not begin with the asked name, none does.  Rows that
+    move are the names and the listing, once each.
     """
-    asked = names.select("FileName").distinct()
-    # At most 255 lengths, the declared width of a file name.
-    lengths = asked.agg(F.collect_set(F.length("FileName")).alias("lengths")).scalar()
-    rank = F.when(F.col("Container") == CONTAINERS[0], 0).otherwise(1)
-    offered = (
-        listing.select("Container", "BlobName", rank.alias("_rank"), lengths.alias("_lengths"))
-        .select(
-            "Container",
-            "BlobName",
-            "_rank",
-            F.explode(F.filter("_lengths", lambda n: n <= F.length("BlobName"))).alias("_n"),
-        )
-        .withColumn("FileName", F.substring("BlobName", F.lit(1), F.col("_n")))
+    archived = F.col("Container") == CONTAINERS[0]
+    stored = listing.where(F.col("BlobName").isNotNull()).select(
+        F.col("BlobName").alias("name"), F.struct("Container", "BlobName").alias("blob"), archived.alias("archived")
     )
-    exact = F.when(F.col("BlobName") == F.col("FileName"), 0).otherwise(1)
-    best = (
-        offered.join(asked, "FileName", "left_semi")
-        .groupBy("FileName")
-        .agg(
-            F.min_by(F.struct("Container", "BlobName"), F.struct("_rank", exact.alias("x"), "BlobName")).alias("_b")
-        )
+    asked = names.where(F.col("FileName").isNotNull()).select(
+        F.col("FileName").alias("name"), F.lit(None).alias("blob"), F.lit(None).alias("archived")
     )
+    rows = stored.unionByName(asked.distinct())
+    order = [F.desc("name"), F.asc_nulls_last("archived")]
+    nearest = {
+        "in_archive": F.when(F.col("archived"), F.col("blob")),
+        "elsewhere": F.when(~F.coalesce("archived", F.lit(True)), F.col("blob")),
+    }
+    found = carried(rows, order, nearest).where("blob IS NULL")
+
+    def fits(column: str) -> Column:
+        return F.when(F.startswith(F.col(f"{column}.BlobName"), F.col("name")), F.col(column))
+
+    best = found.select(F.col("name").alias("FileName"), F.coalesce(*map(fits, nearest)).alias("_b"))
     return names.join(best, "FileName", "left").select(
         *names.columns, F.col("_b.Container").alias("Container"), F.col("_b.BlobName").alias("BlobName")
     )

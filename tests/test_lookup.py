@@ -178,6 +178,40 @@ def test_rate_limit_matches_brute_force(spark):
         assert got == brute_limit(events, seconds, limit)
 
 
+def test_rate_limit_of_a_key_that_never_pauses(spark):
+    rng, at, events = random.Random(4), NOW, []
+    for i in range(4000):
+        at += timedelta(seconds=rng.choice([0, 1, 5, 60]))
+        events.append(("busy" if i % 5 else None, at, i))
+    df = spark.createDataFrame(events, "Key string, EventTime timestamp_ntz, EventId bigint")
+    plan = L.rate_limit(df, 100, 3)
+    got = {r["EventId"]: r["Denied"] for r in plan.collect()}
+    assert got == brute_limit([(str(k), t, i) for k, t, i in events], 100, 3)
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seconds, limit", [(1, 1), (10**7, 2)])
+def test_rate_limit_of_short_and_endless_windows(spark, seconds, limit):
+    events = [("k", NOW + timedelta(seconds=s), s) for s in (0, 0, 1, 2, 2, 5, 9, 9)]
+    events = [(k, t, i) for i, (k, t, _) in enumerate(events)]
+    df = spark.createDataFrame(events, "Key string, EventTime timestamp_ntz, EventId bigint")
+    assert {r["EventId"]: r["Denied"] for r in L.rate_limit(df, seconds, limit).collect()} == brute_limit(events, seconds, limit)
+    assert L.rate_limit(df.where("false"), seconds, limit).count() == 0
+
+
+def test_locate_files_equals_trying_every_pair(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("ab.é") for _ in range(rng.randrange(n)))
+    stored = sorted({(rng.choice(["archive", "inbound"]), word(7)) for _ in range(400)})
+    asked = [word(6) for _ in range(200)] + ["", "zz", None, "a", "a"]
+    listing = spark.createDataFrame(stored, "Container string, BlobName string").repartition(5)
+    names = spark.createDataFrame([(i, n) for i, n in enumerate(asked)], "Id int, FileName string")
+    got = {r["Id"]: (r["Container"], r["BlobName"]) for r in locate_files(names, listing).collect()}
+    for i, name in enumerate(asked):
+        fits = [(c != "archive", b != name, b.encode(), c, b) for c, b in stored if name is not None and b.startswith(name)]
+        assert got[i] == (min(fits)[3:] if fits else (None, None)), name
+
+
 def test_permissions(spark):
     ur = spark.createDataFrame([("u1", 1)], "UserOid string, RoleId int")
     ug = spark.createDataFrame([("u1", 5), ("u2", 5)], "UserOid string, GroupId int")

@@ -23,3 +23,18 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
     with pytest.raises(RuntimeError):
         shared_folder(session)
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]"])
+def test_a_local_session_without_a_setting_gets_one_folder(master):
+    context = SimpleNamespace(
+        master=master,
+        applicationId=f"trial-{master}",
+        getConf=lambda: SimpleNamespace(get=lambda *_: None),
+        getCheckpointDir=lambda: None,
+    )
+    # Like Spark's, this configuration cannot be changed.
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    folder = shared_folder(session)
+    assert os.path.isdir(folder) and shared_folder(session) == folder
+    os.rmdir(folder)
