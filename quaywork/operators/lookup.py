@@ -19,7 +19,7 @@ from quaywork.functions.columns import (
     strip,
     timestamp_text,
 )
-from quaywork.functions.skew import latest_before, numbered
+from quaywork.functions.skew import BROADCAST_ROWS, latest_before, numbered
 from quaywork.session import scratch_path
 
 # The question patterns.  (?U) makes word boundaries Unicode-aware.
@@ -49,6 +49,8 @@ RATE_WINDOW_SECONDS = 3600
 RATE_LIMIT = 20
 #: Times that share a slice where a key is cut.
 SLICE_MICROS = 60_000_000
+#: Distinct times of one key that are walked along in one row.
+FOLDED_TIMES = 50_000
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -435,15 +437,29 @@ def _next_starts(times: DataFrame, width: int) -> DataFrame:
     return seen.where("_kind = 0").select("Key", (F.col("_at") - width).alias("_t"), "_next")
 
 
-def window_starts(times: DataFrame, width: int) -> DataFrame:
+def _folded_starts(times: DataFrame, width: int) -> DataFrame:
+    """(Key, _t) of the starts, walking along the sorted times of a key inside one row."""
+    last, none = F.lit(None).cast("bigint"), F.array().cast("array<bigint>")
+
+    def step(done: Column, t: Column) -> Column:
+        opened = F.struct(t.alias("last"), F.concat(done["starts"], F.array(t)).alias("starts"))
+        return F.when(done["last"].isNull() | (t - done["last"] > width), opened).otherwise(done)
+
+    first = F.struct(last.alias("last"), none.alias("starts"))
+    sorted_times = times.groupBy("Key").agg(F.sort_array(F.collect_list("_t")).alias("times"))
+    starts = F.aggregate("times", first, step, lambda done: done["starts"])
+    return sorted_times.select("Key", F.explode(starts).alias("_t"))
+
+
+def window_starts(times: DataFrame, width: int, fits: int = FOLDED_TIMES) -> DataFrame:
     """(Key, _t) of the distinct ``times`` that open a window.
 
     A key's first time opens one, and from each start the next is the first
-    time more than ``width`` later.  Every time points to what would follow it;
-    the pointers are followed by doubling: in each round the starts found so far
-    give those as many steps further on again, and every pointer is joined with
-    itself.  So the joins are a logarithm of a key's windows, and no task walks
-    along a key.
+    time more than ``width`` later.  Keys of up to ``fits`` times are folded.
+    In a crowded key every time points to what would follow it, and the pointers
+    are followed by doubling: in each round the starts found so far give those
+    as many steps further on again, and every pointer is joined with itself.  So
+    the joins are a logarithm of a key's windows, and no task walks along it.
     """
     spark = times.sparkSession
 
@@ -452,8 +468,16 @@ def window_starts(times: DataFrame, width: int) -> DataFrame:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    pointers = written(_next_starts(times, width).where("_next IS NOT NULL"), "pointers")
-    starts = written(times.groupBy("Key").agg(F.min("_t").alias("_t")), "starts")
+    times = written(times, "times")
+    counts = written(times.groupBy("Key").agg(F.count("_t").alias("n")), "counts")
+    crowded = counts.where(F.col("n") > fits).select("Key")
+    many = crowded.count()
+    if not many:
+        return _folded_starts(times, width)
+    crowded = F.broadcast(crowded) if many <= BROADCAST_ROWS else crowded
+    hot = times.join(crowded, "Key", "left_semi")
+    pointers = written(_next_starts(hot, width).where("_next IS NOT NULL"), "pointers")
+    starts = written(hot.groupBy("Key").agg(F.min("_t").alias("_t")), "starts")
     while not pointers.isEmpty():
         further = starts.join(pointers, ["Key", "_t"]).select("Key", F.col("_next").alias("_t"))
         # A start's successors of 1, 2, 4, ... steps are all different, so nothing is found twice.
@@ -461,11 +485,14 @@ def window_starts(times: DataFrame, width: int) -> DataFrame:
         second = pointers.select("Key", F.col("_t").alias("_next"), F.col("_next").alias("_after"))
         doubled = pointers.join(second, ["Key", "_next"]).select("Key", "_t", F.col("_after").alias("_next"))
         pointers = written(doubled, "pointers")
-    return starts
+    return starts.unionByName(_folded_starts(times.join(crowded, "Key", "left_anti"), width))
 
 
 def rate_limit(
-    events: DataFrame, seconds: int = RATE_WINDOW_SECONDS, limit: int = RATE_LIMIT
+    events: DataFrame,
+    seconds: int = RATE_WINDOW_SECONDS,
+    limit: int = RATE_LIMIT,
+    fits: int = FOLDED_TIMES,
 ) -> DataFrame:
     """Marks requests of (Key, EventTime, EventId) beyond ``limit`` per window.
 
@@ -485,7 +512,7 @@ def rate_limit(
         F.coalesce(F.concat(F.lit("="), F.col("Key").cast("string")), F.lit("")).alias("Key"),
         micros(F.col("EventTime")).alias("_t"),
     ).where("_t IS NOT NULL")
-    starts = window_starts(stamped.select("Key", "_t").distinct(), width)
+    starts = window_starts(stamped.select("Key", "_t").distinct(), width, fits)
     stretch = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
     here = starts.select("Key", stretch.alias("_stretch"), F.col("_t").alias("_here"))
     before = here.select("Key", (F.col("_stretch") + 1).alias("_stretch"), F.col("_here").alias("_before"))

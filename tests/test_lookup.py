@@ -173,8 +173,8 @@ def test_rate_limit_matches_brute_force(spark):
         events.append((key, NOW + timedelta(seconds=rng.randint(0, 40_000), microseconds=rng.choice([0, 1, 500_000])), i))
     events += [("edge", NOW, 9001), ("edge", NOW + timedelta(seconds=3600), 9002), ("edge", NOW + timedelta(seconds=7200), 9003)]
     df = spark.createDataFrame(events, "Key string, EventTime timestamp_ntz, EventId bigint")
-    for seconds, limit in ((3600, 20), (300, 2), (3600, 1)):
-        got = {r["EventId"]: r["Denied"] for r in L.rate_limit(df, seconds, limit).collect()}
+    for seconds, limit, fits in ((3600, 20, 500), (300, 2, 0), (3600, 1, 50_000)):
+        got = {r["EventId"]: r["Denied"] for r in L.rate_limit(df, seconds, limit, fits).collect()}
         assert got == brute_limit(events, seconds, limit)
 
 
@@ -184,7 +184,7 @@ def test_rate_limit_of_a_key_that_never_pauses(spark):
         at += timedelta(seconds=rng.choice([0, 1, 5, 60]))
         events.append(("busy" if i % 5 else None, at, i))
     df = spark.createDataFrame(events, "Key string, EventTime timestamp_ntz, EventId bigint")
-    plan = L.rate_limit(df, 100, 3)
+    plan = L.rate_limit(df, 100, 3, fits=1000)
     got = {r["EventId"]: r["Denied"] for r in plan.collect()}
     assert got == brute_limit([(str(k), t, i) for k, t, i in events], 100, 3)
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
