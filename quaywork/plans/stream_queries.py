@@ -13,14 +13,38 @@ from quaywork.session import scratch_path
 from quaywork.streaming import jobs
 
 
+PARTS, ROWS_PER_PART = 4, 250_000
+
+
+def _timed_events(d: Domain, label: str, late: bool = False) -> DataFrame:
+    """The events as a stream of parts in order of time, one part a micro-batch, at least ``PARTS`` of them.
+
+    With ``late`` the last part also brings the earliest events once more, long
+    after the watermark has passed them.
+    """
+    events = d.table("events")
+    facts = events.agg(F.count("ts").alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    parts = max(PARTS, -(-facts["n"] // ROWS_PER_PART))
+    path = scratch_path(d.spark, label)
+    bounds = [facts["low"] + (facts["high"] - facts["low"]) * i / parts for i in range(1, parts)]
+    part = sum([F.when(F.col("ts") >= F.lit(b).cast(events.schema["ts"].dataType), 1).otherwise(0) for b in bounds], F.lit(0))
+    numbered = events.withColumn("_part", part)
+    for i in range(parts):
+        rows = numbered.where(F.col("_part") == i).drop("_part")
+        if late and i == parts - 1:
+            rows = rows.unionByName(events.where(F.col("ts") == F.lit(facts["low"]).cast(events.schema["ts"].dataType)))
+        # One file a part, since a micro-batch takes one file; a part is bounded.
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/events")
+    return d.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+
+
 def _stream(d: Domain, view: str) -> DataFrame:
-    """A domain view over the events table, read as a stream."""
-    schema = d.table("events").schema
+    """A domain view over the events table, read as a stream in several micro-batches."""
 
     class Streamed(Domain):
         def table(self, name):
             if name == "events":
-                return jobs.table_stream(d.spark, d.folder, "events.parquet", schema)
+                return _timed_events(d, view)
             return super().table(name)
 
     return getattr(Streamed(d.spark, d.folder), view)
@@ -99,7 +123,7 @@ def stream_parse(d):
        WHERE w + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 HOUR GROUP BY ALL""",
 )
 def stream_counts(d):
-    source = jobs.table_stream(d.spark, d.folder, "events.parquet", d.table("events").schema)
+    source = _timed_events(d, "events-counts", late=True)
     counts = jobs.window_counts(source, "event_type", "ts", "6 hours")
     return _appended(d, counts, "counts")
 
@@ -113,7 +137,7 @@ def stream_counts(d):
        WHERE w + INTERVAL 48 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 HOUR GROUP BY ALL""",
 )
 def sliding_counts(d):
-    source = jobs.table_stream(d.spark, d.folder, "events.parquet", d.table("events").schema)
+    source = _timed_events(d, "events-sliding", late=True)
     counts = jobs.window_counts(source, "event_type", "ts", "48 hours", "24 hours")
     return _appended(d, counts, "sliding")
 
@@ -152,7 +176,7 @@ def order_state(d):
        AND coalesce(leaves, (SELECT date_trunc('millisecond', max(ts)) FROM moves) - INTERVAL 10 MINUTE) - ts > INTERVAL 60 MINUTE""",
 )
 def stale_alerts(d):
-    source = jobs.table_stream(d.spark, d.folder, "events.parquet", d.table("events").schema)
+    source = _timed_events(d, "events-stale")
     moves = source.where("event_type IN ('click', 'view')").select(
         F.col("user_id").alias("ItemId"),
         F.col("event_id").alias("EventId"),
@@ -172,7 +196,7 @@ def stale_alerts(d):
        FROM (SELECT ev.*, anchors.a FROM ev ASOF JOIN anchors ON anchors.k = ev.k AND anchors.a <= ev.ts)""",
 )
 def stream_rate_limit(d):
-    source = jobs.table_stream(d.spark, d.folder, "events.parquet", d.table("events").schema)
+    source = _timed_events(d, "events-rate")
     calls = source.select(
         F.col("event_type").alias("Key"), F.col("ts").alias("EventTime"), F.col("event_id").alias("EventId")
     )

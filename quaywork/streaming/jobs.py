@@ -8,6 +8,7 @@ live under a checkpoint folder, so a lost executor or a restart resumes there.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,17 +66,56 @@ def keep_latest(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest row per key over all batches written by :func:`keep_latest`."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    rest = [c for c in rows.columns if c not in (*keys, "batch")]
-    return (
-        rows.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
-        .select(*keys, "_row.*")
+def _newest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    rest = [c for c in rows.columns if c not in (*keys, order)]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"), F.max(order).alias(order)).select(
+        *keys, "_row.*", order
     )
 
 
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The numbers of the folders ``kind=n`` below ``path`` that were written to the end."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS")) or []
+    return sorted(int(s.getPath().getParent().getName().partition("=")[2]) for s in found)
+
+
+def _since_snapshot(spark: SparkSession, path: str, upto: int | None = None) -> tuple[DataFrame, int]:
+    """Rows of the newest snapshot and of the batches after it, with ``_order``, and the last batch among them."""
+    snapshots = _numbers(spark, path, "snapshot")
+    base = snapshots[-1] if snapshots else -1
+    batches = [b for b in _numbers(spark, path, "batch") if b > base and (upto is None or b <= upto)]
+    parts = [f"{path}/snapshot={base}"] if snapshots else []
+    frames = [spark.read.parquet(p).withColumn("_order", F.lit(base)) for p in parts]
+    if batches:
+        tail = spark.read.option("basePath", path).parquet(*[f"{path}/batch={b}" for b in batches])
+        frames.append(tail.withColumnRenamed("batch", "_order"))
+    return reduce(DataFrame.unionByName, frames), max([base, *batches])
+
+
+def compact_latest(spark: SparkSession, path: str, keys: list[str]) -> int:
+    """Merge all batches but the last into one snapshot; returns the batch it reaches to, -1 if there is none.
+
+    A snapshot holds one row a key, so that reading costs a snapshot and the
+    batches since, however many there were.  The last batch stays out, since a
+    restart may write it again.  A snapshot counts once it is complete; the
+    batches it replaces are left to whoever clears the folder.
+    """
+    batches = _numbers(spark, path, "batch")
+    done = _numbers(spark, path, "snapshot")
+    upto = batches[-2] if len(batches) > 1 else -1
+    if upto > (done[-1] if done else -1):
+        rows, _ = _since_snapshot(spark, path, upto)
+        _newest(rows, keys, "_order").drop("_order").write.mode("overwrite").parquet(f"{path}/snapshot={upto}")
+    return upto
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Newest row per key: the newest snapshot, if one was made, and the batches of :func:`keep_latest` after it."""
+    return _newest(_since_snapshot(spark, path)[0], keys, "_order").drop("_order")
+
+
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Each inbound file lands once: the checkpoint remembers what was picked up."""
     run_to_parquet(stream, path, checkpoint)

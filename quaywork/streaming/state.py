@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
@@ -92,14 +93,18 @@ class RateWindow(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         batch = _ordered(rows)
         start, count = self._window.get() if self._window.exists() else (None, 0)
-        denied = []
-        for when in batch["EventMicros"]:
-            if start is None or when - start > self._width:
-                start, count = int(when), 0
-            count += 1
-            denied.append(count > self._limit)
+        times = batch["EventMicros"].to_numpy()
+        ranks = np.empty(len(times), np.int64)
+        low = 0
+        while low < len(times):
+            if start is None or times[low] - start > self._width:
+                start, count = int(times[low]), 0
+            # All requests up to the end of the open window at once.
+            high = int(np.searchsorted(times, start + self._width, "right"))
+            ranks[low:high] = np.arange(count + 1, count + 1 + high - low)
+            count, low = count + high - low, high
         self._window.update((start, count))
-        yield pd.DataFrame({"Key": key[0], "EventId": batch["EventId"], "Denied": denied})
+        yield pd.DataFrame({"Key": key[0], "EventId": batch["EventId"], "Denied": ranks > self._limit})
 
     def close(self) -> None:
         pass

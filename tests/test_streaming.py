@@ -156,3 +156,25 @@ def test_late_rows_are_dropped(spark, tmp_path):
     jobs.run_to_parquet(jobs.window_counts(stream), str(tmp_path / "out"), str(tmp_path / "ck"))
     got = spark.read.parquet(str(tmp_path / "out")).select(from_micros(F.col("start_micros")).alias("w"), "sender", "files")
     assert sorted(map(tuple, got.collect())) == [(NOW, "A", 1), (NOW + timedelta(hours=5), "A", 1)]
+
+
+def test_compaction_changes_nothing_and_bounds_reading(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = jobs.keep_latest(out)
+    rows = lambda b: [(k, f"{b}-{k}") for k in range(b % 3, 9, 2)]
+    newest = {}
+    for b in range(7):
+        write(spark.createDataFrame(rows(b), "k bigint, v string"), b)
+        newest.update(rows(b))
+        if b in (2, 5):
+            assert jobs.compact_latest(spark, out, ["k"]) == b - 1
+        assert {r["k"]: r["v"] for r in jobs.read_latest(spark, out, ["k"]).collect()} == newest
+    # A batch that is written again replaces itself; what the snapshot holds is not read again.
+    write(spark.createDataFrame([(1, "again")], "k bigint, v string"), 6)
+    got = {r["k"]: r["v"] for r in jobs.read_latest(spark, out, ["k"]).collect()}
+    assert got[1] == "again"
+    files = jobs.read_latest(spark, out, ["k"]).inputFiles()
+    assert not any(f"batch={b}" in f for f in files for b in range(5)) and any("snapshot=4" in f for f in files)
+    # An unfinished snapshot does not count.
+    (tmp_path / "out" / "snapshot=6").mkdir()
+    assert {r["k"]: r["v"] for r in jobs.read_latest(spark, out, ["k"]).collect()} == got
