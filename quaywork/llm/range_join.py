@@ -221,9 +221,14 @@ def near_duplicates(
     Cells join independently, one unit of up to ``HOME_ROWS`` home points per
     task; a crowded cell is several units.
     """
-    marked = with_digest(docs, vector).select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != vector]).alias("row"),
-        F.col(f"`{key}`").alias("id"),
+    # The row is packed before columns are added, so that it may have columns of their names.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != vector] or [F.lit(None).alias("none")]
+    body = docs.select(
+        F.struct(*others).alias("row"), F.col(f"`{key}`").alias("id"), F.col(f"`{vector}`").alias("given")
+    )
+    marked = with_digest(body, "given").select(
+        "row",
+        "id",
         "vector",
         F.coalesce("digest", F.unhex(F.md5(F.concat(F.lit("unusable:"), F.uuid())))).alias("digest"),
     )

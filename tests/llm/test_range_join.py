@@ -77,3 +77,11 @@ def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert near_duplicates(docs).count() == 0
     assert near_duplicates(spark.createDataFrame([(1, None, "", "")], SCHEMA)).collect()[0]["component_id"] == 1
+
+
+def test_columns_named_like_added_ones_stay(spark):
+    rows = [(1, [1.0, 0.0], "d1", "v1", "g1"), (2, [1.0, 0.01], "d2", "v2", "g2"), (3, None, "d3", "v3", "g3")]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, digest string, vector string, given string")
+    got = {r["vec_id"]: r for r in near_duplicates(docs).collect()}
+    assert [(got[i]["digest"], got[i]["vector"], got[i]["given"]) for i in (1, 2, 3)] == [r[2:] for r in rows]
+    assert [got[i]["component_id"] for i in (1, 2, 3)] == [1, 1, 3]
