@@ -9,10 +9,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaywork.llm.common import packed, settle, uniform, unpacked
+from quaywork.llm.common import packed, settle, unpacked
 
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -26,15 +26,13 @@ STEP = 32
 class Options:
     """Bounds and strengths of a fit.
 
-    ``docs_per_label`` documents of each of the ``max_labels`` most frequent
-    languages give ``windows`` runs of ``STEP`` words each, spread over the
-    whole text; a share ``switched`` of the runs changes language halfway.
+    Each language gives about ``runs_per_label`` runs of ``STEP`` words, drawn
+    from all its texts in proportion to their length; a share ``switched`` of
+    the runs changes language halfway.
     """
 
     bits: int = 16
-    max_labels: int = 64
-    docs_per_label: int = 600
-    windows: int = 4
+    runs_per_label: int = 2400
     switched: float = 0.25
     epochs: int = 4
     rate: float = 0.2
@@ -261,43 +259,50 @@ def fit_chain(
 ) -> Chain:
     """Learn from documents with a language; every word of one bears its language.
 
-    Rows without text or language are left out.  Languages are counted over all
-    rows; each gives about ``docs_per_label`` documents, those with the least
-    hash of their key.  What reaches the driver is bounded by the options.
-    Without such rows the chain has no labels.
+    Rows without text or language are left out.  Every language that occurs is
+    learned.  Its texts are cut into stretches of equal length, which are counted
+    over all rows; about ``runs_per_label`` of them, those with the least hash,
+    give the run of words that begins there.  So what reaches the driver is
+    bounded by that many runs a language, however long the texts are.  Without
+    such rows the chain has no labels.
     """
     o = options
+    # A stretch is about as long as a run: STEP words of five letters and a space.
+    parts = (F.floor(F.length("body") / (6 * STEP)) + 1).cast("int")
     usable = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("body"), F.col(label).cast("string").alias("label")
-    )
-    counted = usable.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
-    counts = {r["label"]: r["docs"] for r in counted.orderBy(F.col("docs").desc(), "label").limit(o.max_labels).collect()}
-    labels = sorted(counts)
+    ).withColumn("parts", parts)
+    counted = settle(usable.groupBy("label").agg(F.sum("parts").alias("all_parts")), "languages")
+    labels = sorted(r["label"] for r in counted.select("label").collect())
     if not labels:
         return Chain([], np.zeros((1 << o.bits, 0)), np.zeros(0), np.zeros((0, 0)), o.bits)
-    share = F.lit(0.0)
-    for name in labels:
-        share = F.when(F.col("label") == name, o.docs_per_label / counts[name]).otherwise(share)
+
+    def draw(part: Column) -> Column:
+        hashed = F.xxhash64(F.lit(o.seed), F.col("key").cast("string"), F.length("body"), part)
+        return F.shiftrightunsigned(hashed, 12) / F.lit(float(2**52))
 
     @F.arrow_udf("array<array<string>>")
-    def runs(texts: pa.Array) -> pa.Array:
+    def runs(texts: pa.Array, parts: pa.Array, chosen: pa.Array) -> pa.Array:
         out = []
-        for t in texts:
+        for t, n, some in zip(texts, parts, chosen, strict=True):
             words = words_of(t.as_py())
             last = max(0, len(words) - STEP)
-            places = sorted({last * i // max(1, o.windows - 1) for i in range(o.windows)})
+            places = sorted({last * i // max(1, n.as_py() - 1) for i in some.as_py()})
             out.append([words[p : p + STEP] for p in places] if words else [])
         return pa.array(out, pa.list_(pa.list_(pa.string())))
 
-    draw = uniform(F.col("key").cast("string"), seed=o.seed)
-    sampled = usable.withColumn("draw", draw).where(F.col("draw") < share)
-    bounded = settle(
-        sampled.withColumn("runs", runs("body")).select("draw", "label", "runs"), "language-runs"
+    share = F.lit(float(o.runs_per_label)) / F.col("all_parts")
+    # One row a language, as many as the model has labels.
+    shared = usable.join(F.broadcast(counted), "label").withColumn("share", share)
+    picked = shared.withColumn(
+        "chosen", F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: draw(i) < F.col("share"))
     )
-    limit = 2 * o.docs_per_label * len(labels)
-    rows = bounded.orderBy("draw", "label", F.xxhash64("runs")).limit(limit).toArrow().to_pylist()
+    sampled = picked.where(F.size("chosen") > 0).select("key", "label", runs("body", "parts", "chosen").alias("runs"))
+    each = settle(sampled.select("key", "label", F.posexplode("runs").alias("at", "run")), "language-runs")
+    limit = 2 * o.runs_per_label * len(labels)
+    rows = each.orderBy(F.xxhash64(F.lit(o.seed), "key", "at"), "label", "run").limit(limit).toArrow().to_pylist()
     place = {name: i for i, name in enumerate(labels)}
-    return _fit([(run, place[r["label"]]) for r in rows for run in r["runs"]], labels, o)
+    return _fit([(r["run"], place[r["label"]]) for r in rows], labels, o)
 
 
 def identify(docs: DataFrame, model: Chain, text: str = "text") -> DataFrame:

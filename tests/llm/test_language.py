@@ -66,7 +66,7 @@ def test_held_out_accuracy(spark):
 
 def test_switching_texts_and_edges(spark):
     docs = documents(spark)
-    model = fit_chain(docs.where("doc_id % 4 <> 2"), Options(docs_per_label=150))
+    model = fit_chain(docs.where("doc_id % 4 <> 2"), Options(runs_per_label=600))
     assert model.labels == ["de", "en", "es", "fr"]
     texts = {
         r["lang"]: r["text"]
@@ -89,3 +89,16 @@ def test_nothing_to_learn_from(spark):
     assert {r["lang_pred"] for r in identify(docs, fit_chain(docs)).collect()} == {"und"}
     one = spark.createDataFrame([(1, "some words", "en", "", "")], SCHEMA)
     assert identify(one, fit_chain(one)).collect()[0]["lang_pred"] == "en"
+
+
+def test_every_language_is_learned(spark):
+    """Seventy languages of distinct letters, one of them rare."""
+    rows = []
+    for n in range(70):
+        words = [chr(0x4E00 + 10 * n + i) + chr(0x4E00 + 10 * n + (i * 3) % 10) for i in range(10)]
+        rows += [(100 * n + d, " ".join(words[(d + k) % 10] for k in range(40)), f"l{n:02}", "", "") for d in range(2 if n == 7 else 12)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = fit_chain(docs, Options(runs_per_label=20))
+    assert len(model.labels) == 70
+    found = identify(docs, model).collect()
+    assert sum(r["lang_pred"] != f"l{r['doc_id'] // 100:02}" for r in found) <= 0.01 * len(found)
