@@ -149,3 +149,14 @@ def test_query(spark, both):
         r = found[doc["doc_id"]]
         digest = hashlib.sha256(groups.encode()).hexdigest() if n_a else ""
         assert tuple(r)[1:] == (n_a, n_b, n_groups, digest, n_links, n_best, count_sum)
+
+
+def test_both_byte_encoders_agree(both):
+    """On every character, on random texts, and on words too long for the quick one."""
+    assert both.quick is not None
+    rng, letters = random.Random(3), " \n\t\r\u00a0\u3000'strvelmd.,!19éaZ漢😀_-"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    texts += [f" a{chr(c)}b 1{chr(c)} {chr(c)}{chr(c)}." for c in range(0, 0x11000) if not 0xD800 <= c < 0xE000]
+    texts += ["x" * 2_500, " " * 5_000, "<|endoftext|> 's <|endoftext|>"]
+    for text in texts:
+        assert both.byte_ids(text) == both.first.encode(text, add_special_tokens=False).ids, text[:40]
