@@ -78,7 +78,7 @@ class Transducer:
     composed once and remembered.
     """
 
-    def __init__(self, model: bytes, remember: int = 100_000):
+    def __init__(self, model: bytes, remember: int = 200_000):
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores: list[float] = []
