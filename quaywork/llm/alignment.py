@@ -146,7 +146,7 @@ class Pair:
                 part_a = part_b = ""
         return ";".join(groups), tuple(links)
 
-    def windows(self, a: list[int], b: list[int]) -> Iterator[tuple[str, tuple[int, ...]]]:
+    def windows(self, a: list[int], b: list[int]) -> list[tuple[str, tuple[int, ...]]]:
         """The aligned windows of a text in order."""
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
         starts_a, starts_b = (np.cumsum(s) - s for s in (self.size_a[ids_a], self.size_b[ids_b]))
@@ -155,17 +155,18 @@ class Pair:
         anchors = anchors[anchors > 0]
         cuts_a = [0, *np.searchsorted(starts_a, anchors).tolist(), len(a)]
         cuts_b = [0, *np.searchsorted(starts_b, anchors).tolist(), len(b)]
-        known = self.known
-        for n in range(len(cuts_a) - 1):
-            key = tuple(a[cuts_a[n] : cuts_a[n + 1]]), tuple(b[cuts_b[n] : cuts_b[n + 1]])
+        all_a, all_b, known, out = tuple(a), tuple(b), self.known, []
+        for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]):  # noqa: B905
+            key = all_a[i:j], all_b[k:m]
             found = known.get(key)
             if found is None:
                 found = self._aligned(*key)
-                if len(key[0]) <= LONGEST and len(key[1]) <= LONGEST:
+                if j - i <= LONGEST and m - k <= LONGEST:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[key] = found
-            yield found
+            out.append(found)
+        return out
 
 
 _loaded: dict[str, Pair] = {}
@@ -236,7 +237,7 @@ def align(
                 sizes_a, sizes_b, counts, groups = [], [], [], []
                 pairs, times, ends = [], [], array("i", [0])
                 for a, b in both.encode(run):
-                    parts = list(both.windows(a, b)) if a else []
+                    parts = both.windows(a, b) if a else []
                     links = np.array(list(chain.from_iterable(p[1] for p in parts)), np.int64)
                     distinct, often = np.unique(links, return_counts=True)
                     sizes_a.append(len(a))
