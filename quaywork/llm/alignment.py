@@ -6,7 +6,7 @@ import json
 import os
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 QUICK_TEXT, QUICK_WORD = 100_000, 2_000
 #: Bytes of text that are encoded, and handed on, at once.
 AT_ONCE = 1 << 20
+#: What the marks of ids are multiplied with for their place in a window, and for their side; both odd.
+STEP, MIX = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -96,7 +98,12 @@ class Pair:
         self.size_b, self.space_b = self._measured(self.bytes_b)
         self.sizes_a, self.sizes_b = self.size_a.tolist(), self.size_b.tolist()
         self.texts_a, self.texts_b = ([str(i) for i in range(len(v))] for v in (self.bytes_a, self.bytes_b))
-        self.known: dict[tuple, tuple[str, tuple[int, ...]]] = {}
+        draw = np.random.default_rng(13)
+        self.marks_a, self.marks_b = (
+            draw.integers(0, 2**64, len(v), np.uint64) for v in (self.bytes_a, self.bytes_b)
+        )
+        #: Aligned windows by their two id tuples, kept as the bytes of 4-byte numbers.
+        self.known: dict[tuple[bytes, bytes], tuple[str, tuple[int, ...]]] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -126,7 +133,7 @@ class Pair:
             )
             yield (a, b) if same else ([], [])
 
-    def _aligned(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...]]:
+    def _aligned(self, a: array, b: array) -> tuple[str, tuple[int, ...]]:
         """Groups of one window as text, and its links as numbers a * 2^32 + b."""
         size_a, size_b, text_a, text_b = self.sizes_a, self.sizes_b, self.texts_a, self.texts_b
         if len(a) == 1 and len(b) == 1:
@@ -148,25 +155,72 @@ class Pair:
 
     def windows(self, a: list[int], b: list[int]) -> list[tuple[str, tuple[int, ...]]]:
         """The aligned windows of a text in order."""
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        starts_a, starts_b = (np.cumsum(s) - s for s in (self.size_a[ids_a], self.size_b[ids_b]))
-        marked_a, marked_b = starts_a[self.space_a[ids_a]], starts_b[self.space_b[ids_b]]
-        anchors = np.intersect1d(marked_a, marked_b, assume_unique=True)
-        anchors = anchors[anchors > 0]
-        cuts_a = [0, *np.searchsorted(starts_a, anchors).tolist(), len(a)]
-        cuts_b = [0, *np.searchsorted(starts_b, anchors).tolist(), len(b)]
-        all_a, all_b, known, out = tuple(a), tuple(b), self.known, []
-        for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]):  # noqa: B905
+        parts, order, _ = self.windows_of([(a, b)])
+        return [parts[i] for i in order.tolist()]
+
+    def windows_of(self, coded: list[tuple[list[int], list[int]]]) -> tuple[list, np.ndarray, np.ndarray]:
+        """The different aligned windows of some texts, which one stands where, and where each text's begin and end.
+
+        The texts are laid end to end, so one pass over arrays finds the anchors
+        of all.  Equal windows are found by fingerprints of their ids and then
+        compared id by id, so that each is looked up once.
+        """
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids[side] for ids in coded), np.int32) for side in (0, 1))
+        offsets_a, offsets_b = _offsets(self.size_a[ids_a]), _offsets(self.size_b[ids_b])
+        borders = offsets_a[_offsets([len(a) for a, _ in coded])]
+        begins = np.zeros((2, borders[-1] + 1), bool)
+        begins[0, offsets_a[:-1][self.space_a[ids_a]]] = True
+        begins[1, offsets_b[:-1][self.space_b[ids_b]]] = True
+        begins[:, borders] = True
+        anchors = np.flatnonzero(begins.all(axis=0))
+        cuts_a, cuts_b = np.searchsorted(offsets_a, anchors), np.searchsorted(offsets_b, anchors)
+        marks = _fingerprints(self.marks_a[ids_a], cuts_a) * MIX + _fingerprints(self.marks_b[ids_b], cuts_b)
+        first, order = _first_places(marks)
+        if not (_repeats(ids_a, cuts_a, first[order]) and _repeats(ids_b, cuts_b, first[order])):
+            first = order = np.arange(len(marks))
+        known, parts, all_a, all_b = self.known, [], ids_a.tobytes(), ids_b.tobytes()
+        bounds = ((4 * cuts[first + n]).tolist() for cuts in (cuts_a, cuts_b) for n in (0, 1))
+        for i, j, k, m in zip(*bounds, strict=True):
             key = all_a[i:j], all_b[k:m]
             found = known.get(key)
             if found is None:
-                found = self._aligned(*key)
-                if j - i <= LONGEST and m - k <= LONGEST:
+                found = self._aligned(array("i", key[0]), array("i", key[1]))
+                if j - i <= 4 * LONGEST and m - k <= 4 * LONGEST:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[key] = found
-            out.append(found)
-        return out
+            parts.append(found)
+        return parts, order, np.searchsorted(anchors, borders)
+
+
+def _offsets(sizes) -> np.ndarray:
+    """Where things of these sizes begin when laid end to end, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))]).astype(np.int64)
+
+
+def _first_places(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different mark stands first, in order, and which of them stands where."""
+    _, first, order = np.unique(marks, return_index=True, return_inverse=True)
+    by_place = np.argsort(first)
+    rank = np.empty_like(by_place)
+    rank[by_place] = np.arange(len(first))
+    return first[by_place], rank[order]
+
+
+def _fingerprints(marks: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """64 bits for each window, from the marks of its ids and their order in it, wherever it stands."""
+    forth = np.cumprod(np.full(len(marks), STEP, np.uint64))
+    back = np.cumprod(np.full(len(marks), pow(STEP, -1, 2**64), np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(marks * forth)])
+    return (sums[cuts[1:]] - sums[cuts[:-1]]) * back[cuts[:-1]]
+
+
+def _repeats(ids: np.ndarray, cuts: np.ndarray, first: np.ndarray) -> bool:
+    """Whether every window holds the very ids of the one it is taken to repeat."""
+    sizes = np.diff(cuts)
+    if not np.array_equal(sizes, sizes[first]):
+        return False
+    return np.array_equal(ids, ids[np.arange(len(ids)) + np.repeat(cuts[first] - cuts[:-1], sizes)])
 
 
 _loaded: dict[str, Pair] = {}
@@ -234,24 +288,23 @@ def align(
         for batch in batches:
             rows, texts = batch.column(0), batch.column(1)
             for start, run in _slices(texts):
-                sizes_a, sizes_b, counts, groups = [], [], [], []
-                pairs, times, ends = [], [], array("i", [0])
-                for a, b in both.encode(run):
-                    parts = both.windows(a, b) if a else []
-                    links = np.array(list(chain.from_iterable(p[1] for p in parts)), np.int64)
-                    distinct, often = np.unique(links, return_counts=True)
-                    sizes_a.append(len(a))
-                    sizes_b.append(len(b))
-                    counts.append(len(links))
-                    groups.append(";".join([p[0] for p in parts]))
+                coded = list(both.encode(run))
+                parts, order, texts_at = both.windows_of(coded)
+                each = np.array([len(links) for _, links in parts], np.int64)
+                flat = np.array(list(chain.from_iterable(links for _, links in parts)), np.int64)
+                ends = _offsets(each[order])
+                links = flat[np.repeat(_offsets(each)[order] - ends[:-1], each[order]) + np.arange(ends[-1])]
+                names, places = [name for name, _ in parts], order.tolist()
+                groups, pairs, times = [], [], []
+                for i, j in pairwise(texts_at.tolist()):
+                    distinct, often = np.unique(links[ends[i] : ends[j]], return_counts=True)
+                    groups.append(";".join(map(names.__getitem__, places[i:j])))
                     pairs.append(distinct)
                     times.append(often.astype(np.int32))
-                    ends.append(ends[-1] + len(distinct))
-                lists = [
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(v)))
-                    for v in (pairs, times)
-                ]
-                numbers = [pa.array(v, pa.int64()) for v in (sizes_a, sizes_b, counts)]
+                inner = pa.array(_offsets([len(p) for p in pairs]), pa.int32())
+                lists = [pa.ListArray.from_arrays(inner, pa.array(np.concatenate(v))) for v in (pairs, times)]
+                sizes_a, sizes_b = ([len(ids[side]) for ids in coded] for side in (0, 1))
+                numbers = [pa.array(v, pa.int64()) for v in (sizes_a, sizes_b, np.diff(ends[texts_at]))]
                 columns = [rows.slice(start, len(run)), *numbers, pa.array(groups, pa.string()), *lists]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
