@@ -126,11 +126,10 @@ class Transducer:
             for p in self.ids
             if len(p) > 1
         }
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart = _Known(lambda pair: self._stay_apart(*pair), remember)
         self.parts: dict[str, tuple[str, str]] = {}
         self.wild = self._out_of_order() if self.bpe else None
-        self.known = _Known(self, remember)
-        self.remember = remember
+        self.known = _Known(self.compose, remember)
         self.surfaces = [self._surface(i) for i in range(len(self.pieces))]
 
     def _out_of_order(self) -> re.Pattern | None:
@@ -227,12 +226,7 @@ class Transducer:
             while piece is not None:
                 fits = start + len(piece) not in dead
                 if fits and path:
-                    before = path[-1]
-                    fits = apart.get((before, piece))
-                    if fits is None:
-                        if len(apart) >= self.remember:
-                            apart.clear()
-                        fits = apart[before, piece] = self._stay_apart(before, piece)
+                    fits = apart[path[-1], piece]
                 if fits:
                     break
                 piece = shorter.get(piece)
@@ -300,19 +294,27 @@ class Transducer:
 
 
 class _Known(dict):
-    """Cuttings already composed; emptied when full, long ones are not kept."""
+    """Answers by what was asked, of a bounded number; those asked again outlive the others.
 
-    def __init__(self, owner: Transducer, limit: int):
+    When half of ``limit`` is reached, the answers become the older half, and
+    the older half before them is dropped; an older answer asked again moves
+    back.  Long texts are answered but not kept.
+    """
+
+    def __init__(self, answer, limit: int):
         super().__init__()
-        self.owner, self.limit = owner, limit
+        self.answer, self.half, self.older = answer, max(limit // 2, 1), {}
 
-    def __missing__(self, text: str) -> tuple[int, ...]:
-        ids = self.owner.compose(text)
-        if len(text) <= 40:
-            if len(self) >= self.limit:
+    def __missing__(self, asked):
+        found = self.older.pop(asked, None)
+        if found is None:
+            found = self.answer(asked)
+        if len(asked) <= 40:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
-            self[text] = ids
-        return ids
+            self[asked] = found
+        return found
 
 
 _compiled: dict[str, Transducer] = {}
