@@ -130,8 +130,18 @@ class Transducer:
         self.parts: dict[str, tuple[str, str]] = {}
         self.wild = self._out_of_order() if self.bpe else None
         self.known = _Known(self.compose, remember)
+        self.trie = self._trie()
         self.surfaces = [self._surface(i) for i in range(len(self.pieces))]
 
+    def _trie(self) -> dict[str, tuple]:
+        """The same trie by characters: each leads to (the next characters, the piece that ends here or None)."""
+        leaf: dict[str, tuple] = {}
+        below: dict[str, dict[str, tuple]] = {}
+        for prefix in sorted(self.steps, key=len, reverse=True):
+            node = below.pop(prefix, leaf), prefix if self.steps[prefix] else None
+            below.setdefault(prefix[:-1], {})[prefix[-1]] = node
+        return below.get("", leaf)
+
     def _out_of_order(self) -> re.Pattern | None:
         """What finds a piece that does not score below the parts it is made of (a trained one does)."""
         wild = [
@@ -202,14 +212,14 @@ class Transducer:
 
     def _longest(self, text: str, start: int) -> str:
         """The longest piece that begins here, at least one character."""
-        steps, best = self.steps, text[start]
-        for end in range(start + 1, len(text) + 1):
-            piece = text[start:end]
-            step = steps.get(piece)
-            if step:
-                best = piece
-            elif step is None:
+        below, best = self.trie, text[start]
+        for character in text[start:]:
+            node = below.get(character)
+            if node is None:
                 break
+            below, piece = node
+            if piece is not None:
+                best = piece
         return best
 
     def _merged_path(self, text: str) -> list[str]:
