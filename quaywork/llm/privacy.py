@@ -39,16 +39,12 @@ BLOCK = 256
 
 @dataclass(frozen=True)
 class Options:
-    """``reach``: code points on either side of a span whose words may reveal it.
-
-    ``least_letters``: shorter words are not terms.  ``support``: documents with
-    different surroundings in which a term must stand beside an entity before
-    the corpus says anything about the two; copies do not add to it.  ``generalise_at`` and ``remove_at``: shares of
-    an entity's information content from which a term is generalised or removed.
+    """``support``: different texts that must hold a term and an entity before the
+    corpus says anything about the two; copies do not add to it.
+    ``generalise_at`` and ``remove_at``: shares of an entity's information
+    content from which a term is generalised or removed.
     """
 
-    reach: int = 48
-    least_letters: int = 4
     support: int = 2
     generalise_at: float = 0.5
     remove_at: float = 0.9
@@ -159,150 +155,137 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), bare)
 
 
-NEAR = "array<struct<entity:string,term:string,start:int,end:int,around:bigint>>"
+def detect(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """``row`` (the carried columns), ``key`` (digest of the text), ``spans``, and ``body`` of texts with spans."""
+    body = whole_text(F.col(f"`{text}`"))
+    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
+    found = docs.select(row.alias("row"), F.unhex(F.md5(body)).alias("key"), body.alias("body"))
+    found = found.withColumn("spans", base_spans(F.col("body")))
+    return found.select("row", "key", "spans", F.when(F.size("spans") > 0, F.col("body")).alias("body"))
 
 
-def _near(text: Column, spans: Column, o: Options) -> Column:
-    """The terms around each span: entity, term, place, and a hash of the surroundings."""
+def _blanked(body: Column, spans: Column) -> Column:
+    """The text with spaces for every span, as many as it has code points, so that words keep their places."""
 
-    def around(span: Column) -> Column:
-        first = F.greatest(span["start"] - o.reach, F.lit(0))
-        left = F.substring(text, first + 1, span["start"] - first)
-        right = F.substring(text, span["end"] + 1, F.lit(o.reach))
-        sides = F.array(
-            F.struct(first.alias("at"), left.alias("part"), (first > 0).alias("cut_first"), F.lit(False).alias("cut_last")),
-            F.struct(
-                span["end"].alias("at"),
-                right.alias("part"),
-                F.lit(False).alias("cut_first"),
-                (F.length(right) == o.reach).alias("cut_last"),
-            ),
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(body, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        covered = F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.concat(acc["out"], gap, F.repeat(F.lit(" "), covered)).alias("out"),
         )
-        seen = F.xxhash64(F.lower(left), F.lower(right))
-
-        def words(side: Column) -> Column:
-            whole = F.filter(
-                matches(side["part"], WORDS),
-                lambda m: (F.length(m["value"]) >= o.least_letters)
-                # A word at the edge of the window may be cut short.
-                & ~(side["cut_first"] & (m["start"] == 0))
-                & ~(side["cut_last"] & (m["end"] == F.length(side["part"]))),
-            )
-            free = F.filter(
-                F.transform(
-                    whole,
-                    lambda m: F.struct(
-                        entity(span).alias("entity"),
-                        F.lower(m["value"]).alias("term"),
-                        (side["at"] + m["start"]).cast("int").alias("start"),
-                        (side["at"] + m["end"]).cast("int").alias("end"),
-                        seen.alias("around"),
-                    ),
-                ),
-                lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
-            )
-            return free
 
-        return F.flatten(F.transform(sides, words))
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(
+        spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body)))
+    )
 
-    return F.flatten(F.transform(spans, around)).cast(NEAR)
 
+def _different_texts(detected: DataFrame) -> DataFrame:
+    """One row a different text with spans: key, copies, spans, body, entities."""
+    once = (
+        detected.where(F.size("spans") > 0)
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("copies"), F.first("spans").alias("spans"), F.first("body").alias("body"))
+    )
+    return once.withColumn("entities", F.array_distinct(F.transform("spans", entity)))
 
-def detect(docs: DataFrame, options: Options, text: str, carry: list[str]) -> DataFrame:
-    """``row`` (the carried columns), ``key`` (digest of the text), ``spans`` and ``near``."""
-    body = whole_text(F.col(f"`{text}`"))
-    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
-    found = docs.select(row.alias("row"), F.unhex(F.md5(body)).alias("key"), body.alias("body"))
-    found = found.withColumn("spans", base_spans(F.col("body")))
-    near = F.when(F.size("spans") > 0, _near(F.col("body"), F.col("spans"), options)).otherwise(
-        F.array().cast(NEAR)
+
+def _distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
+
+
+def meetings(texts: DataFrame, docs: DataFrame, total: int, options: Options, text: str) -> DataFrame:
+    """(key, copies, entity, term, with_entity, with_term): terms that may disclose an entity of their text.
+
+    A pair is left out only where it can not reach the threshold: its entity or
+    its term stands in fewer than ``support`` texts, or the term is so common
+    that not even standing in every document of the entity would suffice
+    (both <= p(e), so with_term <= n^(1-g) * with_entity^g is necessary).  That
+    bound is part of the join, so common words never become rows.
+    """
+    o, n = options, float(max(total, 1))
+    known = (
+        texts.select("copies", F.explode("entities").alias("entity"))
+        .groupBy("entity")
+        .agg(F.sum("copies").alias("with_entity"), F.count(F.lit(1)).alias("support"))
+        .where((F.col("support") >= o.support) & (F.col("with_entity") < n))
+        .withColumn(
+            "most",
+            F.lit(1 + 1e-9) * F.pow(F.lit(n), 1 - o.generalise_at) * F.pow(F.col("with_entity"), o.generalise_at),
+        )
+        .drop("support")
+    )
+    known = settle(known, "known")
+    held = settle(texts.select("key", F.explode("entities").alias("entity")).join(known, "entity"), "held")
+    words = texts.join(held.select("key").distinct(), "key", "left_semi").select(
+        "key", "copies", F.explode(_distinct_words(_blanked(F.col("body"), F.col("spans")))).alias("term")
     )
-    return found.select("row", "key", "spans", near.alias("near"))
+    words = settle(words, "words")
+    wanted = words.groupBy("term").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= o.support)
+    wanted = settle(wanted.select("term"), "wanted")
+    most = known.agg(F.max("most").alias("most")).first()["most"] or 0.0
+    # Counted before the join, so that what the join makes is one row a term however common it is; a
+    # semi-join would be moved below the counting, an inner join with distinct terms is not.
+    every = docs.select(F.explode(_distinct_words(whole_text(F.col(f"`{text}`")))).alias("term"))
+    counted = every.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    with_term = settle(counted.where(F.col("with_term") <= most).join(wanted, "term"), "terms-counted")
+    rare = words.join(with_term, "term").alias("w")
+    held = held.alias("h")
+    meet = (F.col("w.key") == F.col("h.key")) & (F.col("w.with_term") <= F.col("h.most"))
+    return rare.join(held, meet).select("w.key", "copies", "entity", "term", "with_entity", "with_term")
 
 
-def disclosing_terms(detected: DataFrame, docs: DataFrame, options: Options, text: str) -> DataFrame:
+def disclosing_terms(met: DataFrame, total: int, options: Options) -> DataFrame:
     """(entity, term, disclosure) for terms at or above ``generalise_at``.
 
     With documents as the unit, an entity's information content is -log p(e),
     and a term discloses PMI(e; t) = log p(e, t) / (p(e) p(t)) of it; the
     disclosure is their ratio, 1 if the term occurs with the entity alone.
-    e and t meet where t stands within reach of e.  Term counts come from every
-    document; only terms with enough support are looked up.
     """
-    o = options
-    pairs = detected.where(F.size("near") > 0).select(
-        F.explode(_first_of_each(F.col("near"))).alias("pair")
-    )
-    together = (
-        pairs.groupBy("pair.entity", "pair.term", "pair.around")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .groupBy("entity", "term")
-        .agg(F.sum("docs").alias("both"), F.count(F.lit(1)).alias("support"))
-        .where(F.col("support") >= o.support)
-    )
-    together = settle(together, "together")
-    wanted = settle(together.select("term").distinct(), "wanted")
-    words = docs.select(
-        F.explode(
-            F.array_distinct(F.regexp_extract_all(F.lower(whole_text(F.col(f"`{text}`"))), F.lit(WORDS), F.lit(0)))
-        ).alias("term")
-    )
-    # Counted before the join, so that what the join makes is one row a term however common it is; a
-    # semi-join would be moved below the counting, an inner join with distinct terms is not.
-    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    with_term = counted.join(wanted, "term")
-    with_entity = (
-        detected.where(F.size("spans") > 0)
-        .select(F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("with_entity"))
-    )
-    total = detected.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     n = F.lit(float(max(total, 1)))
     information = F.log(n / F.col("with_entity"))
     shared = F.log(F.col("both") * n / (F.col("with_entity") * F.col("with_term")))
     return (
-        together.join(with_term, "term")
-        .join(with_entity, "entity")
+        met.groupBy("entity", "term", "with_entity", "with_term")
+        .agg(F.sum("copies").alias("both"), F.count(F.lit(1)).alias("support"))
+        .where(F.col("support") >= options.support)
         .withColumn("disclosure", F.when(information > 0, shared / information))
-        .where(F.col("disclosure") >= o.generalise_at)
+        .where(F.col("disclosure") >= options.generalise_at)
         .select("entity", "term", "disclosure")
     )
 
 
-def _first_of_each(near: Column) -> Column:
-    """One element for each entity and term of a document, with the least of its surroundings."""
-    plain = F.transform(
-        near, lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"), t["around"].alias("around"))
-    )
-
-    def fresh(v: Column) -> Column:
-        def differs(x: Column, i: Column) -> Column:
-            last = F.get(v, i - 1)
-            return (i == 0) | (last["entity"] != x["entity"]) | (last["term"] != x["term"])
-
-        return F.filter(v, differs)
-
-    return _let(F.array_sort(plain), fresh)
-
-
 def term_spans(detected: DataFrame, docs: DataFrame, options: Options, text: str) -> DataFrame:
-    """(key, terms): for each text the spans of terms that disclose an entity beside them.
+    """(key, terms): for each text every place of the terms that disclose one of its entities.
 
-    Equal texts share one row.  A place that several entities flag counts once,
-    with its largest disclosure.
+    Equal texts share one row.  A term that several entities flag has the
+    largest of their disclosures.
     """
-    flagged = settle(disclosing_terms(detected, docs, options, text), "flagged")
-    places = (
-        detected.where(F.size("near") > 0)
-        .select("key", F.explode("near").alias("t"))
-        .select("key", "t.entity", "t.term", "t.start", "t.end")
-        .join(flagged, ["entity", "term"])
-        .groupBy("key", "start", "end")
+    total = detected.count()
+    texts = settle(_different_texts(detected), "texts")
+    met = settle(meetings(texts, docs, total, options, text), "met")
+    flagged = settle(disclosing_terms(met, total, options), "flagged")
+    told = (
+        met.join(flagged, ["entity", "term"])
+        .groupBy("key", "term")
         .agg(F.max("disclosure").alias("disclosure"))
+        .groupBy("key")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told"))
     )
-    shaped = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", F.lit(TERM).alias("kind"), "disclosure")
-    return settle(places.groupBy("key").agg(F.sort_array(F.collect_list(shaped)).alias("terms")), "terms")
+
+    def place(m: Column) -> Column:
+        return F.struct(
+            m["start"].alias("start"),
+            F.lit(len(KINDS)).alias("rank"),
+            m["end"].alias("end"),
+            F.lit(TERM).alias("kind"),
+            F.try_element_at(F.col("told"), F.lower(m["value"])).alias("disclosure"),
+        )
+
+    words = matches(_blanked(F.col("body"), F.col("spans")), WORDS)
+    places = F.filter(F.transform(words, place), lambda p: p["disclosure"].isNotNull())
+    return settle(texts.join(told, "key").select("key", places.alias("terms")), "terms")
 
 
 def find_private(
@@ -321,11 +304,13 @@ def find_private(
     Repeated rows: each is returned, and equal texts have equal spans.  Columns
     that bear an added name are replaced.  Empty input: no rows.
 
-    Texts are read twice, once for the patterns and once for term counts, and
-    are never shuffled; the spans join by digest of the text.
+    Documents are the unit of co-occurrence, however long they are, and every
+    place of a term is returned that discloses an entity of its document.
+    Texts are read twice, once for the patterns and once for term counts; only
+    those with spans are shuffled, one of each different text.
     """
     columns = [c for c in docs.columns if c != text] if carry is None else list(carry)
-    detected = settle(detect(docs, options, text, columns), "detected")
+    detected = settle(detect(docs, text, columns), "detected")
     terms = term_spans(detected, docs, options, text)
     joined = detected.join(terms, "key", "left").withColumn("spans", _all_spans())
     return unpacked(joined, ["spans"], without=["none"])
@@ -380,10 +365,12 @@ def sanitise(docs: DataFrame, options: Options = Options(), text: str = "text")
     """The documents with their personal data replaced in the text.
 
     Exact patterns become a mark of their kind; terms that disclose an entity
-    become a general mark, or nothing from ``remove_at`` on.  A text without
-    spans is unchanged, a null text stays null.  All columns are kept.
+    become a general mark, or nothing from ``remove_at`` on, wherever they
+    stand in a document that holds the entity.  Overlapping spans become one,
+    named by the first.  A text without spans is unchanged, a null text stays
+    null.  All columns and repeated rows are kept.  Empty input: no rows.
     """
-    detected = settle(detect(docs, options, text, []), "detected")
+    detected = settle(detect(docs, text, []), "detected")
     terms = term_spans(detected, docs, options, text)
     body = F.col(f"row.`{text}`")
     found = packed(docs).withColumn("spans", base_spans(whole_text(body)))

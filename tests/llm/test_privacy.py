@@ -78,27 +78,106 @@ def corpus():
     return told + other + filler + copies
 
 
-def test_disclosing_terms(spark):
-    texts = corpus()
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    rows = find_private(docs).collect()
-    n, word = len(texts), re.compile(r"[a-zA-Z]+")
-    with_term = {}
+def entities_of(text):
+    out = set()
+    for span in filter(None, brute(text).split(",")):
+        kind, a, b = span.split(":")
+        value = text[int(a) : int(b)]
+        out.add((kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower()))
+    return out
+
+
+def blanked(text):
+    for span in filter(None, brute(text).split(",")):
+        _, a, b = span.split(":")
+        text = text[: int(a)] + " " * (int(b) - int(a)) + text[int(b) :]
+    return text
+
+
+WORD = re.compile(r"(?<![^\W\d_])(?<![\d_])[^\W\d_]++(?![\d_])")
+
+
+def brute_terms(texts, o=Options()):
+    """{text: {(start, end): disclosure}} by plain counts over whole documents."""
+    texts = [t or "" for t in texts]
+    n = len(texts)
+    with_term, with_entity, both, support = {}, {}, {}, {}
     for t in texts:
-        for w in {w.lower() for w in word.findall(t)}:
+        for w in {w.lower() for w in WORD.findall(t)}:
             with_term[w] = with_term.get(w, 0) + 1
-    for r in rows:
-        text = texts[r["doc_id"]]
-        terms = {text[s["start"] : s["end"]].lower(): s["disclosure"] for s in r["spans"] if s["kind"] == "term"}
-        if "secret" not in text:
-            assert not terms, text  # copies are no evidence, and entities seen once say nothing
-            continue
-        for w in ("pilot", "zanzibar"):
-            share = math.log(6 * n / (6 * with_term[w])) / math.log(n / 6)
-            assert math.isclose(terms[w], share)
-        for w in ("wrote", "today", "again"):
-            share = math.log(6 * n / (6 * with_term[w])) / math.log(n / 6)
-            assert (w in terms) == (share >= Options().generalise_at)
+        for e in entities_of(t):
+            with_entity[e] = with_entity.get(e, 0) + 1
+            for w in {w.lower() for w in WORD.findall(blanked(t))}:
+                both[e, w] = both.get((e, w), 0) + 1
+                support.setdefault((e, w), set()).add(t)
+    told = {}
+    for (e, w), count in both.items():
+        if len(support[e, w]) >= o.support and with_entity[e] < n:
+            share = math.log(count * n / (with_entity[e] * with_term[w])) / math.log(n / with_entity[e])
+            if share >= o.generalise_at:
+                told[e, w] = share
+    out = {}
+    for t in set(texts):
+        held = entities_of(t)
+        for m in WORD.finditer(blanked(t)):
+            shares = [told[e, m[0].lower()] for e in held if (e, m[0].lower()) in told]
+            if shares:
+                out.setdefault(t, {})[m.span()] = max(shares)
+    return out
+
+
+def terms_match(spark, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    want = brute_terms(texts)
+    for r in find_private(docs).collect():
+        got = {(s["start"], s["end"]): s["disclosure"] for s in r["spans"] if s["kind"] == "term"}
+        expected = want.get(texts[r["doc_id"]] or "", {})
+        assert got.keys() == expected.keys(), texts[r["doc_id"]]
+        assert all(math.isclose(got[p], expected[p], abs_tol=1e-9) for p in got)
+    return want
+
+
+def test_disclosing_terms(spark):
+    want = terms_match(spark, corpus())
+    assert not any("unique" in t for t in want)  # copies are no evidence
+    assert all("secret" in t for t in want)  # entities seen once say nothing
+
+
+def test_terms_of_random_documents(spark):
+    r = random.Random(8)
+    names = ["Zo\u00eb", "Li", "Ana", "Bo", "Kai", "Mirek", "Odile", "\u5f20\u4e09"]
+    data = ["p.one@mail.example", "10.0.0.7", CARD_NUMBER, "+1 555 010 9999", "q@w.example"]
+
+    def document():
+        words = [r.choice("so then they went there and came back with it".split()) for _ in range(r.randint(0, 40))]
+        for k in r.sample(range(5), r.choice((0, 0, 0, 1, 2))):
+            words.insert(r.randint(0, len(words)), data[k])
+            words.insert(r.randint(0, len(words)), names[k] if r.random() < 0.8 else r.choice(names))
+            words += [names[k]] * r.randint(0, 2)
+        return " ".join(words)
+
+    texts = [document() for _ in range(400)]
+    want = terms_match(spark, texts + texts[:60] + [None, ""])
+    assert len(want) > 50
+
+
+def test_a_far_name_and_all_its_places(spark):
+    words = "some plain words that everybody writes in every letter without a second thought at all"
+    told = [f"Zanzibar {words} {words} no {i} a.b@mail.example {words} Zanzibar again" for i in range(5)]
+    rest = [f"{words} number {i} a second letter again" for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(told + rest)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in sanitise(docs).collect()}
+    for i in range(5):
+        assert "Zanzibar" not in got[i] and got[i].count(words) == 3 and "[EMAIL]" in got[i]
+    assert all(got[5 + i] == t for i, t in enumerate(rest))
+
+
+def test_one_entity_in_a_third_of_the_rows(spark):
+    told = [f"the desk helps you at help@desk.example call{i} Vera is there" for i in range(100)]
+    rest = [f"the other {i} is there or not" for i in range(200)]
+    long = ["x@y.example " + " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(30_000))] * 2
+    want = terms_match(spark, told + rest + long)
+    assert all(any(t[a:b] == "Vera" for a, b in want[t]) for t in told)
 
 
 def test_sanitise(spark):
