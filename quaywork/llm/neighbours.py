@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,11 @@ class Options:
     than ``settled`` of all links; it begins from the neighbours inside random
     groups of about ``group`` nodes.  A search keeps the ``width`` nearest nodes
     seen and expands ``expand`` of them a step, from ``entries`` random nodes
-    and the query's own node; queries are taken in blocks of about
-    ``query_block``, whose vectors are broadcast.  ``sample`` queries are also
-    answered by a scan of all vectors, and ``width`` and ``expand`` are doubled
-    until the search finds a share of ``recall`` of those answers.
+    and the query's own node.  Queries are taken in blocks, whose vectors are
+    broadcast: of about ``query_block``, and fewer as ``expand`` grows, so that
+    the rows a step broadcasts stay at about ``frontier``.  ``sample`` queries
+    are also answered by a scan of all vectors, and ``width`` and ``expand``
+    are doubled until the search finds a share of ``recall`` of those answers.
     """
 
     degree: int = 16
@@ -41,11 +43,25 @@ class Options:
     entries: int = 32
     steps: int = 64
     query_block: int = 4096
+    frontier: int = 4096 * 128
     sample: int = 256
     recall: float = 0.95
     seed: int = 3
 
 
+def blocks_of(queries: int, o: Options) -> int:
+    """How many blocks keep both the queries of one and the rows its steps broadcast within their bounds."""
+    return -(-queries // max(1, min(o.query_block, o.frontier // o.expand)))
+
+
+def _parts(queries: DataFrame, count: int, o: Options) -> Iterator[DataFrame]:
+    blocks = blocks_of(count, o)
+    for b in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("digest"), F.lit(blocks)) == b)
+        if not part.isEmpty():
+            yield part
+
+
 @dataclass(frozen=True)
 class Index:
     """``points`` (node, vector, small): distinct vectors of one dimension; ``members`` (node, id):
@@ -283,7 +299,7 @@ def _search_block(index: Index, block: DataFrame, entries: list[int], k: int, o:
         front = pool.where("open")
         if front.isEmpty():
             break
-        # At most query_block times expand rows, so the graph stays where it is.
+        # About o.frontier rows at most, whatever expand has become, so the graph stays where it is.
         reached = index.graph.join(F.broadcast(front.select("q", "floor", "node")), "node").select(
             "q", "floor", F.explode("around").alias("node"), none
         )
@@ -345,7 +361,8 @@ def widened(index: Index, one: DataFrame, entries: list[int], k: int, o: Options
     scanned = _scanned(index, block, k + 1)
     sampled, count = block.count(), index.points.count()
     while True:
-        reached = measured_recall(_search_block(index, block, entries, k, o), scanned, own, k)
+        parts = [_search_block(index, part, entries, k, o) for part in _parts(block, sampled, o)]
+        reached = measured_recall(reduce(DataFrame.unionByName, parts), scanned, own, k) if parts else 0.0
         LOG.info("recall %.4f on %d sampled queries of %d vectors, width %d", reached, sampled, count, o.width)
         if reached >= o.recall or o.width >= count:
             return o, reached
@@ -360,13 +377,15 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found for each query, by cosine.
+    """(query_id, rank, vec_id, score, recall): the k nearest rows found for each query, by cosine.
 
     Every row of ``rows`` is indexed and may be found; a query does not find
     rows of its own key.  Scores are cosines of the original vectors in doubles;
     the nearest comes first, ties go to the smaller key.  The search is
     approximate, but measured: it is widened until it finds ``recall`` of the
     answers of a sample of queries, and what it returns is ranked exactly.
+    ``recall`` is the share it reached for vectors of the query's dimension; it
+    is below the aim only where a pool as large as the table did not suffice.
 
     Vectors that are null, empty, zero, or hold null or non-finite components,
     and rows without a key, take no part; vectors of different dimension are not
@@ -378,7 +397,7 @@ def nearest(
     asked = with_digest(queries, vector).where("vector IS NOT NULL").where(F.col(f"`{key}`").isNotNull())
     asked = settle(asked.select(F.col(f"`{key}`").alias("query_id"), "vector", "digest").distinct(), "queries")
     spark = rows.sparkSession
-    out = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    out = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double, recall double")
     for size, index in build_indexes(rows, k, o, key, vector).items():
         mine = asked.where(F.size("vector") == size)
         one = mine.groupBy("digest").agg(F.first("vector").alias("vector"))
@@ -389,12 +408,8 @@ def nearest(
         ]
         if one.isEmpty():
             continue
-        wide, _ = widened(index, one, entries, k, o)
-        blocks = -(-one.count() // o.query_block)
-        for b in range(blocks):
-            block = one.where(F.pmod(F.xxhash64("digest"), F.lit(blocks)) == b)
-            if block.isEmpty():
-                continue
+        wide, reached = widened(index, one, entries, k, o)
+        for block in _parts(one, one.count(), wide):
             found = _search_block(index, block, entries, k, wide).join(one.select("q", "digest"), "q")
             named = found.join(mine.select("query_id", "digest"), "digest").where(F.col("query_id") != F.col("id"))
             rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
@@ -404,5 +419,5 @@ def nearest(
                 .withColumn("rank", rank)
                 .where(F.col("rank") <= k)
             )
-            out = out.unionByName(ranked.select("query_id", "rank", "vec_id", "score"))
+            out = out.unionByName(ranked.select("query_id", "rank", "vec_id", "score", F.lit(reached).alias("recall")))
     return out

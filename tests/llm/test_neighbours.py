@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from quaywork.llm.neighbours import Options, nearest
+from quaywork.llm.neighbours import Options, blocks_of, nearest
 
 SCHEMA = "vec_id bigint, embedding array<double>, node string, rank string"
 
@@ -13,9 +13,10 @@ SCHEMA = "vec_id bigint, embedding array<double>, node string, rank string"
 def found(spark, rows, k=5, **options):
     docs = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
     out = nearest(docs, docs.where(F.col("vec_id") % 50 == 0), k, Options(**options))
-    assert out.columns == ["query_id", "rank", "vec_id", "score"]
+    assert out.columns == ["query_id", "rank", "vec_id", "score", "recall"]
     got: dict = {}
     for r in sorted(out.collect()):
+        assert r["recall"] >= options.get("recall", Options().recall)
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
         assert r["rank"] == len(got[r["query_id"]])
     return got
@@ -81,6 +82,14 @@ def test_recall_in_a_group_of_noisy_copies(spark):
 def test_search_widens_until_the_sample_is_found(spark):
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=32).tolist()) for i in range(2000)]
-    got, want = found(spark, rows, width=16, expand=8, entries=4), brute(rows)
+    got, want = found(spark, rows, width=16, expand=8, entries=4, frontier=2048), brute(rows)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_blocks_shrink_as_the_search_widens():
+    for expand in (1, 128, 1000, 10**7):
+        o = Options(expand=expand)
+        blocks = blocks_of(100_000, o)
+        a_block = -(-100_000 // blocks)
+        assert a_block <= o.query_block and (a_block == 1 or a_block * expand <= 1.01 * o.frontier)
