@@ -178,6 +178,10 @@ def window_counts(
     )
 
 
+#: Buckets that keys with small state are dealt into; each is one call a micro-batch.
+BUCKETS = 1_024
+
+
 def _with_state(
     events: DataFrame,
     key: str,
@@ -196,14 +200,20 @@ def _with_state(
     )
 
 
+def _with_bucketed_state(events: DataFrame, processor, mode: str = "append", time_mode: str = "none") -> DataFrame:
+    """State of keys that are many: a call serves the rows of a bucket of them."""
+    bucket = F.pmod(F.xxhash64(processor.KEY), F.lit(BUCKETS)).cast("int")
+    # As text a key stays exact beside missing ones.
+    dealt = events.withColumn(state.BUCKET, bucket).withColumn(processor.KEY, F.col(processor.KEY).cast("string"))
+    return _with_state(dealt, state.BUCKET, processor, processor.OUTPUT, mode, time_mode)
+
+
 def order_state(events: DataFrame) -> DataFrame:
     """Order status after each micro-batch; orders start as READY."""
     shaped = events.select(
         "WMSOrderHeaderStagingId", "EventId", micros(F.col("EventTime")).alias("EventMicros"), "Action", "Message"
     )
-    return _with_state(
-        shaped, "WMSOrderHeaderStagingId", state.OrderState(), state.OrderState.OUTPUT, "update"
-    )
+    return _with_bucketed_state(shaped, state.OrderState(), "update")
 
 
 def rate_limit(
@@ -229,17 +239,13 @@ def stale_alerts(events: DataFrame, minutes: int = STALE_MINUTES, delay: str = "
         "Enters",
         event_time("EventTime").alias("at"),
     ).withWatermark("at", delay)
-    return _with_state(
-        shaped, "ItemId", state.StaleStay(minutes), state.StaleStay.OUTPUT, time_mode="eventtime"
-    )
+    return _with_bucketed_state(shaped, state.StaleStay(minutes), time_mode="eventtime")
 
 
 def session_progress(events: DataFrame) -> DataFrame:
     """Build progress after each micro-batch."""
     shaped = events.withColumn("EventMicros", micros(F.col("EventTime"))).drop("EventTime")
-    return _with_state(
-        shaped, "CRNumber", state.SessionProgress(), state.SessionProgress.OUTPUT, "update"
-    )
+    return _with_bucketed_state(shaped, state.SessionProgress(), "update")
 
 
 def session_totals(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:

@@ -14,6 +14,8 @@ from quaywork.operators import change_requests as H
 from quaywork.operators import interchange as I
 from quaywork.operators import lookup as L
 from quaywork.operators import staging as C
+from quaywork.plans import stream_queries
+from quaywork.plans.domain import Domain
 from quaywork.sources import files as A
 from quaywork.streaming import jobs
 from tests.test_interchange import ORDER, whole
@@ -178,3 +180,44 @@ def test_compaction_changes_nothing_and_bounds_reading(spark, tmp_path):
     # An unfinished snapshot does not count.
     (tmp_path / "out" / "snapshot=6").mkdir()
     assert {r["k"]: r["v"] for r in jobs.read_latest(spark, out, ["k"]).collect()} == got
+
+
+def test_keys_share_buckets_and_stay_exact(spark, tmp_path, monkeypatch):
+    """Keys of one bucket keep their own state and timers; large ids stay exact beside a missing one."""
+    monkeypatch.setattr(jobs, "BUCKETS", 2)
+    ids = [None, *range(2**60 + 1, 2**60 + 20)]
+    actions = ["SENT", "FAILED", "SENT", "SUCCESS"]
+    rows = [(n * 100 + i, k, NOW + timedelta(minutes=n), a, f"{k}") for n, a in enumerate(actions) for i, k in enumerate(ids)]
+    stream = in_parts(spark, rows, S.schema("order_events"), tmp_path / "in", parts=4)
+    out = str(tmp_path / "out")
+    jobs.run_batches(jobs.order_state(stream), jobs.keep_latest(out), str(tmp_path / "ck"), "update")
+    got = jobs.read_latest(spark, out, ["WMSOrderHeaderStagingId"]).collect()
+    assert {r["WMSOrderHeaderStagingId"] for r in got} == set(ids) and len(got) == len(ids)
+    assert {(r["IntegrationStatus"], r["AttemptCount"]) for r in got} == {("SUCCESS", 2)}
+
+    stays = [(k, i, NOW + timedelta(minutes=i), True) for i, k in enumerate(ids[1:])]
+    stays += [(ids[2], 50, NOW + timedelta(minutes=50), False), (7, 51, NOW + timedelta(minutes=81), False), (7, 52, NOW + timedelta(minutes=81), False)]
+    schema = "ItemId bigint, EventId bigint, EventTime timestamp_ntz, Enters boolean"
+    stream = in_parts(spark, stays, schema, tmp_path / "in2", parts=2)
+    jobs.run_to_parquet(jobs.stale_alerts(stream), str(tmp_path / "out2"), str(tmp_path / "ck2"))
+    got = sorted(r["ItemId"] for r in spark.read.parquet(str(tmp_path / "out2")).collect())
+    # The watermark ends at 71 minutes: who came in before minute 11 and has not left is reported.
+    assert got == [k for i, k in enumerate(ids[1:]) if i < 11 and i != 1]
+
+
+def test_parts_are_bounded_where_times_crowd(spark, tmp_path, monkeypatch):
+    """Micro-batches hold about equal numbers of rows, in order of time, and no row is lost."""
+    monkeypatch.setattr(stream_queries, "ROWS_PER_PART", 100)
+    times = [NOW + timedelta(seconds=i) for i in range(990)] + [NOW + timedelta(days=3 * i) for i in range(1, 11)]
+    rows = [(i, t) for i, t in enumerate(times)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz").write.parquet(str(tmp_path / "events.parquet"))
+    stream = stream_queries._timed_events(Domain(spark, str(tmp_path)), "parts")
+    sizes, ends = [], []
+
+    def look(batch, batch_id):
+        n, low, high = batch.agg(F.count("ts"), F.min("ts"), F.max("ts")).first()
+        sizes.append(n)
+        ends.extend([low, high])
+
+    jobs.run_batches(stream, look, str(tmp_path / "ck"))
+    assert sum(sizes) == 1000 and len(sizes) >= 8 and max(sizes) < 300 and ends == sorted(ends)
