@@ -13,28 +13,33 @@ from quaywork.session import scratch_path
 from quaywork.streaming import jobs
 
 
-PARTS, ROWS_PER_PART = 4, 250_000
+#: Parts at least, and rows a part holds at most or so; a part is a micro-batch, whose cost is mostly fixed.
+PARTS, ROWS_PER_PART = 4, 2_000_000
 
 
 def _timed_events(d: Domain, label: str, late: bool = False) -> DataFrame:
     """The events as a stream of parts in order of time, one part a micro-batch, at least ``PARTS`` of them.
 
-    With ``late`` the last part also brings the earliest events once more, long
-    after the watermark has passed them.
+    The rows are dealt out by ranges of time in one shuffle, and each part is
+    then read alone, so the work grows with the rows and not with rows times
+    parts.  With ``late`` the last part also brings the earliest events once
+    more, long after the watermark has passed them.
     """
     events = d.table("events")
-    facts = events.agg(F.count("ts").alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    facts = events.agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("low")).first()
     parts = max(PARTS, -(-facts["n"] // ROWS_PER_PART))
     path = scratch_path(d.spark, label)
-    bounds = [facts["low"] + (facts["high"] - facts["low"]) * i / parts for i in range(1, parts)]
-    part = sum([F.when(F.col("ts") >= F.lit(b).cast(events.schema["ts"].dataType), 1).otherwise(0) for b in bounds], F.lit(0))
-    numbered = events.withColumn("_part", part)
-    for i in range(parts):
-        rows = numbered.where(F.col("_part") == i).drop("_part")
-        if late and i == parts - 1:
+    # Equal times fall into one range, rows without a time into the first.
+    dealt = events.repartitionByRange(parts, "ts").withColumn("_part", F.spark_partition_id())
+    dealt.write.partitionBy("_part").parquet(f"{path}/dealt")
+    written = d.spark.read.schema(dealt.schema).parquet(f"{path}/dealt")
+    filled = sorted(r["_part"] for r in written.select("_part").distinct().collect())
+    for i in filled:
+        rows = written.where(F.col("_part") == i).drop("_part")
+        if late and i == filled[-1]:
             rows = rows.unionByName(events.where(F.col("ts") == F.lit(facts["low"]).cast(events.schema["ts"].dataType)))
-        # One file a part, since a micro-batch takes one file; a part is bounded.
-        rows.coalesce(1).write.mode("append").parquet(f"{path}/events")
+        # One file a part, since a micro-batch takes one file, in row groups that several tasks can read.
+        rows.coalesce(1).write.mode("append").option("parquet.block.size", 4 << 20).parquet(f"{path}/events")
     return d.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
 
 
