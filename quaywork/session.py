@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _scratch: list[str] = []
 #: Temporary folders of local sessions without a setting, by application.
@@ -65,6 +65,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a new scratch folder and read back, so that several uses do not compute it again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Remove the scratch folders this process has made; what is still read from them must be done."""
     count = len(_scratch)
