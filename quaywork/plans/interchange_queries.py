@@ -9,6 +9,7 @@ from quaywork.functions.columns import edi_element
 from quaywork.operators import interchange as I
 from quaywork.plans.domain import ORDERS_NOW
 from quaywork.plans.registry import query
+from quaywork.session import written_once
 
 _BAD = S.BAD_QUANTITY
 
@@ -170,7 +171,9 @@ def controls(d):
        FROM files f LEFT JOIN badfiles b ON b.RawId = f.RawId""",
 )
 def parse_status(d):
-    after = I.apply_parse_status(d.raw_files, d.parsed, ORDERS_NOW)
+    # The files are parsed and joined to the outcome: rendered once.
+    received = written_once(d.raw_files, "received")
+    after = I.apply_parse_status(received, I.parse_files(received), ORDERS_NOW)
     return after.select("RawId", "ProcessStatus", "ParsedDateTime", "ErrorMessage")
 
 
@@ -183,7 +186,7 @@ def parse_status(d):
 def reparse(d):
     # Every third file is parsed again; the others keep their earlier rows.
     columns = ["RawId", "WarehouseOrderNumber", "STControlNumber"]
-    fresh = I.headers(d.parsed).select(*columns)
+    fresh = written_once(I.headers(d.parsed).select(*columns), "headers")
     earlier = fresh.withColumn("STControlNumber", F.lit("old"))
     again = d.files.select("RawId").where("RawId % 3 = 0")
     return I.replace_results(earlier, again, fresh.where("RawId % 3 = 0"))
@@ -224,7 +227,7 @@ def envelope_check(d):
        WHERE NOT (CAST(floor(l_orderkey / 4) AS BIGINT) % 10 = 0) GROUP BY ALL""",
 )
 def render_roundtrip(d):
-    parsed = d.parsed
+    parsed = written_once(d.parsed, "parsed")
     order = I.headers(parsed).where("RawId % 10 <> 0").select(
         "HeaderId", F.col("WarehouseOrderNumber").alias("order_number")
     )
