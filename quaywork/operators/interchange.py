@@ -29,7 +29,7 @@ from quaywork.functions.columns import (
     safe_int,
 )
 from quaywork.functions.skew import join_checked, numbered
-from quaywork.session import scratch_path
+from quaywork.session import scratch_path, written_once
 
 LINES_PER_TRANSACTION = 9_999
 TRANSACTIONS_PER_FILE = 100
@@ -502,6 +502,8 @@ def envelope_check(files: DataFrame) -> DataFrame:
             | ~safe_int(_element(iea, 1)).eqNullSafe(count_of("GS"))
         ).alias("_gs_ge"),
     )
+    # Two uses follow; the facts are small, the texts are not read again.
+    facts = written_once(facts, "envelope-facts")
     # Only control numbers seen more than once travel to the join.
     repeated = (
         facts.where(F.col("_isa13").isNotNull())
