@@ -16,6 +16,8 @@ segment, the pair (HeaderId, DetailId) is the key.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +41,16 @@ ELEMENT = r"\*"
 
 
 def _segment_texts(text: Column) -> Column:
-    unbroken = F.translate(text, "\r\n", "")
+    # Whole replacements: translate looks at every character by itself.
+    unbroken = F.replace(F.replace(text, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(""))
     pieces = F.transform(F.split(unbroken, "~", -1), lambda s: F.trim(s))
     return F.filter(pieces, lambda s: s != "")
 
 
 def _segment_id(segment: Column) -> Column:
-    return F.upper(F.rtrim(F.substring_index(segment, "*", 1)))
+    name = F.rtrim(F.substring_index(segment, "*", 1))
+    # Full case mapping is dear; most names are plain capitals.
+    return F.when(name.rlike("^[A-Z0-9]*$"), name).otherwise(F.upper(name))
 
 
 def newest_unparsed(files: DataFrame) -> DataFrame:
@@ -96,12 +101,20 @@ def tokenize(files: DataFrame) -> DataFrame:
     )
 
 
+def _elements(segment: Column) -> Column:
+    """The elements after the segment id trimmed, blank ones NULL."""
+    plain = F.split(segment, ELEMENT, -1)
+    # Only segments that can hold such elements pay for looking at each.
+    padded = F.contains(segment, F.lit(" ")) | F.contains(segment, F.lit("**")) | F.endswith(segment, F.lit("*"))
+    return F.when(padded, F.transform(plain, blank_to_null)).otherwise(plain)
+
+
 def _element(segment: Column, position: int) -> Column:
-    return blank_to_null(F.get(segment["e"], F.lit(position)))
+    return F.get(segment["e"], F.lit(position))
 
 
-def _first_segment(name: str) -> Column:
-    return first_where(F.col("segments"), lambda s: s["id"] == name)
+def _first_segment(name: str, segments: str = "segments") -> Column:
+    return first_where(F.col(segments), lambda s: s["id"] == name)
 
 
 def _unfold(df: DataFrame, array: Column | str, name: str, *keep: str) -> DataFrame:
@@ -116,11 +129,12 @@ def _unfold(df: DataFrame, array: Column | str, name: str, *keep: str) -> DataFr
 
 
 def _too_long(record: Column, widths: dict[str, int]) -> Column:
-    checks = [F.coalesce(F.length(record[name]) > width, F.lit(False)) for name, width in widths.items()]
-    result = checks[0]
-    for check in checks[1:]:
-        result = result | check
-    return result
+    by_width: dict[int, list[Column]] = {}
+    for name, width in widths.items():
+        by_width.setdefault(width, []).append(F.length(record[name]))
+    # The longest of a width is compared; missing values do not count.
+    longest = {width: F.greatest(*sizes) if len(sizes) > 1 else sizes[0] for width, sizes in by_width.items()}
+    return reduce(or_, [F.coalesce(size > width, F.lit(False)) for width, size in longest.items()])
 
 
 def _is_order_start(segment: Column) -> Column:
@@ -149,13 +163,23 @@ def _detail(segment: Column) -> Column:
     )
 
 
-def _transaction(start: Column, block: Column) -> Column:
-    inside = F.filter(block["segments"], lambda s: s["seq"] >= start["seq"])
-    order = first_where(inside, lambda s: s["id"] == "W05")
-    trailer = F.element_at(block["segments"], -1)
+def _between(first: Column, last: Column) -> Column:
+    return F.slice("segments", first, last - first + 1)
+
+
+def _span(start: Column, end: Column) -> Column:
+    """Places of a transaction's ST, SE and first W05, which may be missing."""
+    order = first_where(_between(start["seq"], end), lambda s: s["id"] == "W05")
+    return F.struct(start["seq"].alias("st"), end.alias("se"), order["seq"].alias("order"))
+
+
+def _transaction(span: Column) -> Column:
+    # What a transform returns is copied, so segments are looked up by place and values come out of one level.
+    start, order, trailer = (F.get("segments", span[name] - 1) for name in ("st", "order", "se"))
+    inside = _between(span["st"], span["se"])
     return F.struct(
-        start["seq"].alias("STSegmentSeq"),
-        block["se"].alias("SESegmentSeq"),
+        span["st"].alias("STSegmentSeq"),
+        span["se"].alias("SESegmentSeq"),
         _element(start, 1).alias("TransactionSetCode"),
         _element(start, 2).alias("STControlNumber"),
         _element(order, 2).alias("WarehouseOrderNumber"),
@@ -183,19 +207,11 @@ def _transaction_problem(transaction: Column) -> Column:
     )
 
 
-def split_blocks(files: DataFrame) -> DataFrame:
-    """Per file: its segments and the blocks closed by each SE segment.
-
-    A segment's block is the stretch up to and including the next SE, so all
-    STs of a block share that SE; what follows the last SE is ``open_tail``.
-    """
+def _segmented(files: DataFrame) -> DataFrame:
+    """Per file its ``segments``, the ``ranges`` closed by each SE and ``_open``, the place after the last SE."""
     parsed = F.transform(
         _segment_texts(F.col("RawEDIText")),
-        lambda s, i: F.struct(
-            (i + 1).cast("int").alias("seq"),
-            _segment_id(s).alias("id"),
-            F.split(s, ELEMENT, -1).alias("e"),
-        ),
+        lambda s, i: F.struct((i + 1).cast("int").alias("seq"), _segment_id(s).alias("id"), _elements(s).alias("e")),
     )
     closings = F.transform(
         F.filter("segments", lambda s: s["id"] == "SE"), lambda s: s["seq"]
@@ -204,28 +220,29 @@ def split_blocks(files: DataFrame) -> DataFrame:
     return (
         files.withColumn("segments", parsed)
         .withColumn("_se", closings)
-        .withColumn(
-            "blocks",
-            F.transform(
-                F.arrays_zip(F.slice(openings, F.lit(1), F.size("_se")).alias("first"), F.col("_se").alias("se")),
-                lambda b: F.struct(
-                    b["se"].alias("se"),
-                    F.slice("segments", b["first"], b["se"] - b["first"] + 1).alias("segments"),
-                ),
-            ),
-        )
-        .withColumn(
-            "open_tail",
-            F.slice(
-                "segments",
-                F.element_at(openings, -1),
-                F.size("segments") - F.element_at(openings, -1) + 1,
-            ),
-        )
+        .withColumn("ranges", F.arrays_zip(F.slice(openings, F.lit(1), F.size("_se")).alias("first"), F.col("_se").alias("se")))
+        .withColumn("_open", F.element_at(openings, -1))
         .drop("_se")
     )
 
 
+def split_blocks(files: DataFrame) -> DataFrame:
+    """Per file: its segments and the blocks closed by each SE segment.
+
+    A segment's block is the stretch up to and including the next SE, so all
+    STs of a block share that SE; what follows the last SE is ``open_tail``.
+    """
+    blocks = F.transform(
+        "ranges", lambda r: F.struct(r["se"].alias("se"), _between(r["first"], r["se"]).alias("segments"))
+    )
+    return (
+        _segmented(files)
+        .withColumn("blocks", blocks)
+        .withColumn("open_tail", _between(F.col("_open"), F.size("segments")))
+        .drop("ranges", "_open")
+    )
+
+
 def parse_files(files: DataFrame, strict: bool = False) -> DataFrame:
     """One row per file with its envelope, nested transactions and first problem.
 
@@ -233,14 +250,15 @@ def parse_files(files: DataFrame, strict: bool = False) -> DataFrame:
     first failing transaction.  ``strict`` also fails files without any
     ``ST*940``.
     """
-    first = {name: _first_segment(name) for name in ("ISA", "GS", "GE", "IEA")}
+    frame = ("ISA", "GS", "GE", "IEA")
+    first = {name: _first_segment(name, "_frame") for name in frame}
     # A lambda inside a lambda captures the outer variable, so each ST is paired
     # with its own block.
-    transactions = F.flatten(
+    spans = F.flatten(
         F.transform(
-            "blocks",
-            lambda b: F.transform(
-                F.filter(b["segments"], _is_order_start), lambda st: _transaction(st, b)
+            "ranges",
+            lambda r: F.transform(
+                F.filter(_between(r["first"], r["se"]), _is_order_start), lambda st: _span(st, r["se"])
             ),
         )
     )
@@ -259,7 +277,9 @@ def parse_files(files: DataFrame, strict: bool = False) -> DataFrame:
             problem, F.when(F.size("transactions") == 0, F.lit(S.NO_TRANSACTIONS))
         )
     return (
-        split_blocks(files.select("RawId", "FileName", "RawEDIText"))
+        _segmented(files.select("RawId", "FileName", "RawEDIText"))
+        .withColumn("_frame", F.filter("segments", lambda s: s["id"].isin(*frame)))
+        .withColumn("_spans", spans)
         .select(
             "RawId",
             "FileName",
@@ -271,10 +291,10 @@ def parse_files(files: DataFrame, strict: bool = False) -> DataFrame:
                 safe_int(_element(first["IEA"], 1)).alias("IEA01_GroupCount"),
                 _element(first["IEA"], 2).alias("IEA02_InterchangeControlNumber"),
             ).alias("envelope"),
-            transactions.alias("transactions"),
-            F.transform(F.filter("open_tail", _is_order_start), lambda s: s["seq"]).alias(
-                "unterminated"
-            ),
+            F.transform("_spans", _transaction).alias("transactions"),
+            F.transform(
+                F.filter(_between(F.col("_open"), F.size("segments")), _is_order_start), lambda s: s["seq"]
+            ).alias("unterminated"),
         )
         .withColumn("Problem", problem)
     )
@@ -394,12 +414,16 @@ def overlong_values(parsed: DataFrame) -> DataFrame:
         ]
         return F.array(*found)
 
+    def long_ones(table: str) -> Column:
+        # Few rows as a rule; only their values are listed.
+        return F.filter(f"t.{table}", lambda r: _too_long(r, S.WIDTHS[table]))
+
     header = F.struct("t.*", "envelope.*")
     every = F.concat(
         checks("headers", header),
         checks("controls", header),
-        F.flatten(F.transform("t.addresses", lambda a: checks("addresses", a))),
-        F.flatten(F.transform("t.details", lambda d: checks("details", d))),
+        F.flatten(F.transform(long_ones("addresses"), lambda a: checks("addresses", a))),
+        F.flatten(F.transform(long_ones("details"), lambda d: checks("details", d))),
     )
     long_only = F.filter(every, lambda c: c["ValueLength"] > c["MaxLength"])
     return _unfold(rows, long_only, "c", "RawId", "t.STSegmentSeq").select(
@@ -603,12 +627,15 @@ def render_940(
         usual = usual.join(oversized, "OrderId", "left_anti").unionByName(
             _cut(written.join(oversized, "OrderId", "left_semi"), max_lines)
         )
+    # A struct inside a struct is dear to compare, so the fields of SortKey stand beside each other; NULL comes first.
+    place = [F.col("SortKey").isNotNull().alias("_given")]
+    place += [F.col(f"SortKey.`{f}`").alias(f"_by{i}") for i, f in enumerate(lines.schema["SortKey"].dataType.names)]
     sets = (
         # Collecting shrinks nothing, so rows are moved first and gathered after.
         usual.repartition(*keys)
         .groupBy(*keys)
         .agg(
-            F.sort_array(F.collect_list(F.struct("SortKey", "_w01"))).alias("_sorted"),
+            F.sort_array(F.collect_list(F.struct(*place, "_w01"))).alias("_sorted"),
             *([] if big else [F.lit(0).cast("bigint").alias("_set")]),
         )
         .withColumn("_lines", F.transform("_sorted", lambda x: x["_w01"]))
