@@ -200,8 +200,7 @@ def reparse(d):
 )
 def length_check(d):
     # One part in a hundred gets a unit that is too long for its column.
-    text = F.regexp_replace("RawEDIText", r"\*EA\*VN\*(P[0-9]*07)~", "*" + "U" * 25 + "*VN*$1~")
-    text = F.regexp_replace(text, r"\*EA\*VN\*(P7)~", "*" + "U" * 25 + "*VN*$1~")
+    text = F.regexp_replace("RawEDIText", r"\*EA\*VN\*(P(?:[0-9]*0)?7)~", "*" + "U" * 25 + "*VN*$1~")
     return I.overlong_values(I.parse_files(d.raw_files.withColumn("RawEDIText", text)))
 
 
