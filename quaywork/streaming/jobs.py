@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quaywork.functions.columns import micros
+from quaywork.functions.skew import join_checked
 from quaywork.operators import interchange
 from quaywork.operators.lookup import RATE_LIMIT, RATE_WINDOW_SECONDS
 from quaywork.schemas import STALE_MINUTES
@@ -147,11 +148,18 @@ def stream_parse(files: DataFrame, path: str, checkpoint: str, strict: bool = Fa
 def read_parsed(spark: SparkSession, path: str) -> DataFrame:
     """The nested parse results; a file delivered again counts in its last batch only.
 
-    Only the ids are shuffled to find the last batch, not the parsed content.
+    Only the ids are shuffled to find the last batch.  Files of several batches
+    are few as a rule; then the parsed content stays where it is.
     """
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    last = rows.groupBy("RawId").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["RawId", "batch"], "left_semi").drop("batch")
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*").where(F.col("RawId").isNotNull())
+    again = (
+        rows.groupBy("RawId")
+        .agg(F.max("batch").alias("_last"), F.min("batch").alias("_first"))
+        .where("_first < _last")
+        .drop("_first")
+    )
+    placed = join_checked(rows, again, "RawId", "left")
+    return placed.where("_last IS NULL OR batch = _last").drop("batch", "_last")
 
 
 def window_counts(
