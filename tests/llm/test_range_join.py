@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quaywork.llm import range_join
+from quaywork.llm import common, range_join
 from quaywork.llm.range_join import near_duplicates
 
 SCHEMA = "vec_id bigint, embedding array<double>, n_links string, node string"
@@ -85,3 +86,23 @@ def test_columns_named_like_added_ones_stay(spark):
     got = {r["vec_id"]: r for r in near_duplicates(docs).collect()}
     assert [(got[i]["digest"], got[i]["vector"], got[i]["given"]) for i in (1, 2, 3)] == [r[2:] for r in rows]
     assert [got[i]["component_id"] for i in (1, 2, 3)] == [1, 1, 3]
+
+
+def test_points_are_not_written_for_every_cell_they_reach(spark, monkeypatch):
+    written = {}
+
+    def settle(df, label):
+        out = common.settle(df, label)
+        vectors = [c for c in ("vector", "vectors") if c in out.columns]
+        if vectors:
+            size = out.select(F.sum(F.length(F.to_json(F.struct(*vectors))))).first()[0]
+            written[label] = written.get(label, 0) + size
+        return out
+
+    monkeypatch.setattr(range_join, "settle", settle)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=16).tolist(), "x", "y") for i in range(1500)]
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA), cell_rows=30)
+    assert found.count() == 1500
+    # Every settled table holds a vector once; 50 cells, nearly all of which a random point reaches.
+    assert written and max(written.values()) <= 1.5 * written["vectors"]
