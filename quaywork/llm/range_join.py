@@ -51,6 +51,17 @@ def _pivots(points: DataFrame, count: int, kind: str) -> dict[int, np.ndarray]:
     return {size: units_of(b"".join(v), size, kind).astype(np.float32) for size, v in found.items()}
 
 
+def pivots_of(points: DataFrame, count: int, longest: int | None, cell_rows: int, kind: str) -> dict[int, np.ndarray]:
+    """A pivot for every ``cell_rows`` of ``count`` vectors of at most ``longest`` bytes; both their number and bytes are bounded."""
+    most = min(MAX_PIVOTS, max(1, PIVOT_BYTES // (longest or 1)))
+    return _pivots(points, min(most, max(1, -(-count // cell_rows))), kind)
+
+
+def block_rows(count: int, most: int, blocks: int = LEAST_BLOCKS) -> int:
+    """Points of a block, so that small tables make several."""
+    return min(most, max(LEAST_ROWS, -(-count // blocks)))
+
+
 def assign_cells(points: DataFrame, pivots: dict[int, np.ndarray], kind: str) -> DataFrame:
     """``points`` with size, cell (the nearest pivot) and angle (to that pivot, in radians)."""
     shared = points.sparkSession.sparkContext.broadcast(pivots)
@@ -357,14 +368,12 @@ def near_duplicates(
     usable = marked.where("vector IS NOT NULL")
     size = usable.agg(F.countDistinct("digest").alias("n"), F.max(F.length("vector")).alias("bytes")).first()
     count = size["n"]
-    most = min(MAX_PIVOTS, max(1, PIVOT_BYTES // (size["bytes"] or 1)))
-    pivots = _pivots(usable, min(most, max(1, -(-count // cell_rows))), kind)
+    pivots = pivots_of(usable, count, size["bytes"], cell_rows, kind)
     points = usable.groupBy("digest").agg(
         F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least")
     )
     points = settle(assign_cells(points.withColumn("node", F.monotonically_increasing_id()), pivots, kind), "points")
-    rows = min(HOME_ROWS, max(LEAST_ROWS, -(-count // LEAST_BLOCKS)))
-    blocks = settle(pack_blocks(points, rows, kind), "blocks")
+    blocks = settle(pack_blocks(points, block_rows(count, HOME_ROWS), kind), "blocks")
     found = settle(compare_blocks(blocks, pivots, least, kind), "found")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = components(found.where("a <> b").select("a", "b"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from quaywork.llm import common, neighbours, range_join
 from quaywork.llm.neighbours import Options, blocks_of, nearest
 
 SCHEMA = "vec_id bigint, embedding array<double>, node string, rank string"
@@ -93,3 +94,22 @@ def test_blocks_shrink_as_the_search_widens():
         blocks = blocks_of(100_000, o)
         a_block = -(-100_000 // blocks)
         assert a_block <= o.query_block and (a_block == 1 or a_block * expand <= 1.01 * o.frontier)
+
+
+def test_what_is_written_follows_the_rows(spark, monkeypatch):
+    written = {}
+
+    def settle(df, label):
+        out = common.settle(df, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(neighbours, "settle", settle)
+    monkeypatch.setattr(range_join, "LEAST_ROWS", 300, raising=False)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
+    got, want = found(spark, rows), brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    # Neither the graph, 24 neighbours a row and more, nor the nodes a search sees are written row by row.
+    assert sum(written.values()) <= 8 * len(rows)
